@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from .common import WORD, cut
 
 FAN_IN = 32
+#: The table of sources is broadcast up to so many (under 1 MB); with more, Spark joins by shuffle.
+BROADCAST_SOURCES = 10_000
 
 
 def targets(sizes: list[int], weights: tuple[int, ...], share: tuple[int, int], most: int) -> list[float]:
@@ -92,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
     goal = targets([n for _, n, _ in sums], weights, share, most)
     plan = spark.createDataFrame([(s, n, t, -(-r // bucket_rows)) for (s, n, r), t in zip(sums, goal, strict=True)], "source string, source_size long, target double, buckets long")
     buckets = max([1, *(-(-r // bucket_rows) for _, _, r in sums)])
-    rows = rows.withColumn("bucket", F.xxhash64("doc_id", "size", "source")).alias("r").join(F.broadcast(plan.alias("p")), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
+    rows = rows.withColumn("bucket", F.xxhash64("doc_id", "size", "source")).alias("r").join((F.broadcast(plan) if len(sums) <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
     rows = rows.withColumn("bucket", F.pmod("bucket", "buckets")).drop("buckets").withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
 
     def round_up_the_tree(level: int, last: bool):

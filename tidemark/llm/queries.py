@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pii, quality, topk
+from . import html_text, mixing, packing, pii, quality, topk
 from .common import table
 
 
@@ -21,14 +21,18 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_address", "n_account")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
 SQL5 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
@@ -49,7 +53,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+    return {"op1_pii": op1_pii, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
