@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixing, packing, pii, quality, topk
+from . import html_text, language, mixing, packing, pii, quality, topk
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
@@ -53,7 +57,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+    return {"op1_pii": op1_pii, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
