@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language, mixing, packing, pii, quality, topk
+from . import html_text, language, mixing, near_dup, packing, pii, quality, topk
 from .common import table
 
 
@@ -21,6 +21,30 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_address", "n_account")
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=4, percent=80).drop("class_id")
+
+
+SQL2 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [md5(array_to_string(w, ' '))]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: md5(array_to_string(w[i:i + 3], ' ')))) END AS s
+  FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+      FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id WHERE r.root < u.b),
+m AS (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id)
+SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, m.root AS component_id, g.doc_id = m.root AS kept
+FROM g JOIN m ON g.doc_id = m.doc_id
+"""
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -57,8 +81,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+    return {"op1_pii": op1_pii, "op2_near_dup": op2_near_dup, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": SQL5}
+    return {"op2_near_dup": SQL2, "op5_exact_topk": SQL5}
