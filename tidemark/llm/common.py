@@ -121,3 +121,21 @@ def slices(texts: list[str | None], most: int = SLICE_CHARS):
         size += n
     if len(texts) > start:
         yield start, len(texts)
+
+
+class Sieve:
+    """Tells most keys of a table from others before a shuffle: one bit for each of a set of random 64-bit keys.
+
+    It has 16 bits a key up to 2 ** most_bits in all (8 MB), so its size is bounded; beyond that it lets more through,
+    and the join after it decides in any case."""
+
+    def __init__(self, keys: DataFrame, column: str, most_bits: int = 26):
+        self.bits = 1 << min(most_bits, max(10, (16 * keys.count()).bit_length()))
+        at = F.col(column).bitwiseAND(F.lit(self.bits - 1))
+        one = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("set")).toPandas()
+        self.words = np.zeros(self.bits // 64, np.uint64)
+        self.words[one["word"].to_numpy(np.int64)] = one["set"].to_numpy(np.int64).view(np.uint64)
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.view(np.uint64) & np.uint64(self.bits - 1)
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0

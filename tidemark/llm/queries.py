@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language, mixing, near_dup, packing, pii, quality, topk
+from . import html_text, language, line_dedup, mixing, near_dup, packing, pii, quality, topk
 from .common import table
 
 
@@ -80,8 +80,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op2_near_dup": op2_near_dup, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+    return {"op1_pii": op1_pii, "op2_near_dup": op2_near_dup, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
