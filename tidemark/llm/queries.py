@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language, line_dedup, mixing, near_dup, packing, pii, quality, topk
+from . import html_text, language, line_dedup, lm_score, mixing, near_dup, packing, pii, quality, topk
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -85,7 +89,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op2_near_dup": op2_near_dup, "op3_html": op3_html, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
+    return {"op1_pii": op1_pii, "op2_near_dup": op2_near_dup, "op3_html": op3_html, "op4_lm_score": op4_lm_score, "op5_exact_topk": op5_exact_topk, "op6_quality": op6_quality, "op7_language": op7_language, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
