@@ -15,23 +15,24 @@ from .components import components
 
 #: SetSketch: base of the register scale, rate of the exponential variables, largest register value.
 BASE, RATE, MOST = 1.001, 20.0, 65_535
-#: Registers in a band and bands: documents at a similarity of 0.8 share no band with a probability below 2e-7.
-BAND, BANDS = 5, 40
-#: Candidates with a likelihood estimate below similarity - SLACK aren't verified: seven standard deviations and more.
-SLACK = 0.22
+#: Registers in a band and bands: documents at a similarity of 0.8 share no band with a probability of 1e-5, at 0.85 of
+#: 4e-8, while those at 0.25 share one with 3e-3.
+BAND, BANDS = 7, 48
+#: Candidates with a likelihood estimate below similarity - SLACK aren't verified: seven standard deviations.
+SLACK = 0.155
 GRID = np.linspace(0.0, 1.0, 101)
 
 
 def registers(s: np.ndarray, m: int = BAND * BANDS) -> np.ndarray:
     """SetSketch registers of a set of hashes: each is the floor of 1 - log_b of the least of exponential variables, one
     for every element, cut off at 0 and MOST. Registers of a union are the larger ones of its parts."""
-    x, a = odd_numbers(m, 11), odd_numbers(m, 12)
-    least = np.full(m, 2**64 - 1, np.uint64)
+    x, a = odd_numbers(m, 11).astype(np.uint32)[:, None], (odd_numbers(m, 12) >> np.uint64(31)).astype(np.uint32)[:, None] | np.uint32(1)
+    h, least = (s >> np.uint64(32)).astype(np.uint32)[None, :], np.full(m, 2**32 - 1, np.uint32)
     for i in range(0, len(s), 512):
-        h = s[None, i : i + 512] ^ x[:, None]
-        h *= a[:, None]
-        np.minimum(least, h.min(1), out=least)
-    e = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64 * (1 - 2**-53)) / RATE
+        v = h[:, i : i + 512] ^ x
+        v *= a
+        np.minimum(least, v.min(1), out=least)
+    e = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**32) / RATE
     return np.clip(np.floor(1 - np.log(np.maximum(e, 1e-300)) / math.log(BASE)), 0, MOST).astype("<u2")
 
 
@@ -83,8 +84,8 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, key binary, bands array<long>, registers binary")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class representatives whose whole sets reach the similarity."""
+def near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class representatives whose sizes and likelihood estimate allow for a link."""
     size = classes.select("rep", F.col("n_shingles").alias("n"), "registers")
     a, b = (size.select(*[F.col(c).alias(f"{c}_{s}") for c in size.columns]) for s in "ab")
     both = pairs.join(a, F.col("a") == F.col("rep_a")).join(b, F.col("b") == F.col("rep_b")).where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
@@ -96,12 +97,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
                 continue
             n = [t.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b")]
             r = [np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(t.num_rows, -1) for c in ("registers_a", "registers_b")]
-            keep = np.concatenate([likely(*(x[i : i + 2000] for x in (*n, *r))) for i in range(0, t.num_rows, 2000)]) >= least
+            keep = np.concatenate([likely(*(x[i : i + 1000] for x in (*n, *r))) for i in range(0, t.num_rows, 1000)]) >= least
             yield t.select(["a", "b"]).filter(pa.array(keep))
 
-    close = cut(both.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(estimate, "a long, b long"), "close")
-    named = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    named = named.join(classes.select(F.col("rep").alias("doc_id"), "key"), "doc_id").dropDuplicates(["doc_id"])
+    return cut(both.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(estimate, "a long, b long"), "close")
+
+
+def whole_sets(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """id, s: the whole shingle sets of named classes (column rep)."""
+    named = named.distinct().join(classes.select("rep", "key"), "rep").dropDuplicates(["rep"])
 
     def sets(batches):
         hashes = WordHashes()
@@ -110,8 +114,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
             right = [xxhash.xxh3_128_digest(s.tobytes()) == key for s, key in zip(got, t.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "s"]).filter(pa.array(right, pa.bool_()))
 
-    whole = docs.select("doc_id", "text").join(named, "doc_id").select("doc_id", "text", "key").mapInArrow(sets, "id long, s binary")
-    whole = cut(whole, "sets")
+    return cut(docs.select(F.col("doc_id").alias("rep"), "text").join(named, "rep").select("rep", "text", "key").mapInArrow(sets, "id long, s binary"), "sets")
+
+
+def verified(close: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the similarity."""
 
     def compare(batches):
         for t in batches:
@@ -126,18 +133,65 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perc
     return cut(close.join(x, "a").join(y, "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
+def own_shingles(whole: DataFrame) -> DataFrame:
+    """id, own: how many shingles of each set no other of these sets has. They are in no intersection."""
+
+    def spread(batches):
+        for t in batches:
+            for i, s in zip(t.column(0).to_pylist(), t.column(1), strict=True):
+                h = np.frombuffer(s.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), i, np.int64)), pa.array(h)], ["id", "h"])
+
+    once = whole.mapInArrow(spread, "id long, h long").groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return once.groupBy("id").agg(F.count("*").alias("own"))
+
+
+def beside_first(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """Of pairs (a, rep): hits, a bit for each shingle of a that rep has, and outside, how many others rep has."""
+
+    def compare(batches):
+        for t in batches:
+            hits, outside = [], []
+            for x, y in zip(t.column(2), t.column(3), strict=True):
+                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                has = np.zeros(-(-len(p) // 64) * 64, np.uint8)
+                has[np.searchsorted(p, np.intersect1d(p, q, assume_unique=True))] = 1
+                hits.append(np.packbits(has).view(np.int64))
+                outside.append(len(q) - int(has.sum()))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(hits, pa.list_(pa.int64())), pa.array(outside, pa.int64())], ["a", "rep", "hits", "outside"])
+
+    x, y = whole.select(F.col("id").alias("a"), F.col("s").alias("s_a")), whole.select(F.col("id").alias("rep"), F.col("s").alias("s_rep"))
+    return pairs.join(x, "a").join(y, "rep").select("a", "rep", "s_a", "s_rep").mapInArrow(compare, "a long, rep long, hits array<long>, outside long")
+
+
+def across(some: DataFrame, all_: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that can be linked. What two members have in common is at most
+    `common`, the size less the shingles that are a member's own; and at most the shingles of the bucket's first member
+    that both have, and the fewer of the others (`loose`, less own ones). The one side holds the members outside of the
+    bucket's largest component, so that a large group costs a comparison for each of them only."""
+    x, y = some.select("bucket", *[F.col(c).alias(f"x_{c}") for c in all_.columns if c != "bucket"]), all_
+
+    def enough(common):
+        return (100 + percent) * common >= percent * (F.col("n") + F.col("x_n"))
+
+    both = F.aggregate(F.zip_with("x_hits", "hits", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, v: t + v)
+    near = (F.col("x_root") != F.col("root")) & enough(F.least("x_common", "common")) & enough(both + F.least("x_loose", "loose"))
+    return x.join(y, (x["bucket"] == y["bucket"]) & near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept, class_id.
 
     Two documents are linked if their sets of distinct k-word shingles (A-Z in lower case) share percent of their union.
-    1. One pass makes SetSketch registers, 5 to a band, and a key of the set. Equal sets form a class, whose smallest id
+    1. One pass makes SetSketch registers, 7 to a band, and a key of the set. Equal sets form a class, whose smallest id
        stands for it from here on. 2. In each bucket of equal bands every class is paired with the smallest id; sizes and
        the likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
-       a bucket still holds several components, all pairs across them are decided in the same way, so no link is lost to
-       step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
+       a bucket still holds several components, the pairs across them are decided too: shingles that no other member has, and
+       those of the bucket's first member that a member lacks, bound what two can have in common, which rules out nearly
+       all that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
 
     Hot groups: classes and bucket minima are aggregated before the shuffle; joins have the small side unique by key, so
-    that Spark splits the large one. Bands miss a pair at 0.8 with a probability below 2e-7, less above.
+    that Spark splits the large one. Bands miss a pair at 0.8 with a probability of 1e-5, less above.
 
     Nulls: a null text, or one without words, has an empty set and is linked with nothing; a row without doc_id is linked
     with nothing, its component_id is null and it is kept. Repeated rows share a class. An empty table yields no rows."""
@@ -147,18 +201,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     classes = cut(rows.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi"), "classes")
     members = classes.select("rep", F.explode("bands").alias("bucket"))
     first = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("bucket", "a")
-    star = cut(members.join(first, "bucket").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "stars")
-    links = verified(star, classes, docs, k, percent)
+    members = cut(members.join(first, "bucket"), "members")
+    star = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    close = near_enough(star, classes, percent)
+    links = verified(close, whole_sets(close.select(F.explode(F.array("a", "b")).alias("rep")), classes, docs, k), percent)
     roots = cut(components(links), "roots")
 
-    placed = members.join(roots, members["rep"] == roots["node"], "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
+    placed = members.join(roots, members["rep"] == roots["node"], "left").select("bucket", "a", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    placed = cut(placed.join(mixed, "bucket"), "mixed")
-    parts = placed.select("bucket", "root").distinct()
-    across = parts.withColumnRenamed("root", "x").join(parts.withColumnRenamed("root", "y"), "bucket").where("x < y")
-    a, b = placed.select("bucket", F.col("root").alias("x"), F.col("rep").alias("p")), placed.select("bucket", F.col("root").alias("y"), F.col("rep").alias("q"))
-    rest = across.join(a, ["bucket", "x"]).join(b, ["bucket", "y"]).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = verified(cut(rest, "rest"), classes, docs, k, percent)
+    mixed = cut(placed.join(mixed, "bucket"), "mixed")
+    whole = whole_sets(mixed.select("rep"), classes, docs, k)
+    own = own_shingles(whole)
+    able = classes.select("rep", F.col("n_shingles").alias("n")).join(whole.select(F.col("id").alias("rep")), "rep", "left_semi").join(own.withColumnRenamed("id", "rep"), "rep", "left")
+    able = able.select("rep", "n", F.coalesce("own", F.lit(0)).alias("own"), (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(100 * F.col("common") >= percent * F.col("n"))
+    placed = cut(mixed.join(able, "rep"), "placed")
+    beside = beside_first(placed.select("a", "rep").distinct(), whole)
+    placed = placed.join(beside, ["a", "rep"]).withColumn("loose", F.greatest(F.lit(0), F.col("outside") - F.col("own"))).drop("own", "outside", "a")
+    placed = cut(placed, "placed-beside")
+    main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent).distinct().join(star, ["a", "b"], "left_anti")
+    more = verified(near_enough(cut(rest, "rest"), classes, percent), whole, percent)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = reps.join(roots, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id"))
@@ -166,3 +228,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     alone = F.col("key").isNull() | F.col("doc_id").isNull()
     out = out.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("component_id", "class_id")})
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id")
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, with one document of each group that near_duplicates() finds; of rows that repeat an
+    id one stays, and rows without id all stay."""
+    kept = cut(near_duplicates(docs, k, percent).where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count(), "kept")
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    if not kept.where("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where("doc_id is null"))
