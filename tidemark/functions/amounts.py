@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 AMOUNT = "decimal(37,18)"
 
@@ -48,7 +49,7 @@ def safe_divide(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def uint256_text(word: pd.Series) -> pd.Series:
     """Decimal digits of a hexadecimal number of up to 256 bits, with or without 0x: more than any built-in cast holds.
     Null if it isn't one."""
