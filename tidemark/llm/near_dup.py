@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, cut, lower_words, mix64, odd_numbers, shingle_set
 from .components import components
+from .pairs import across, beside_first, verified
 
 #: SetSketch: base of the register scale, rate of the exponential variables, largest register value.
 BASE, RATE, MOST = 1.001, 20.0, 65_535
@@ -117,22 +118,6 @@ def whole_sets(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     return cut(docs.select(F.col("doc_id").alias("rep"), "text").join(named, "rep").select("rep", "text", "key").mapInArrow(sets, "id long, s binary"), "sets")
 
 
-def verified(close: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity."""
-
-    def compare(batches):
-        for t in batches:
-            keep = []
-            for x, y in zip(t.column(2), t.column(3), strict=True):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
-            yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    x, y = whole.select(F.col("id").alias("a"), F.col("s").alias("s_a")), whole.select(F.col("id").alias("b"), F.col("s").alias("s_b"))
-    return cut(close.join(x, "a").join(y, "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long").distinct(), "links")
-
-
 def own_shingles(whole: DataFrame) -> DataFrame:
     """id, own: how many shingles of each set no other of these sets has. They are in no intersection."""
 
@@ -146,39 +131,6 @@ def own_shingles(whole: DataFrame) -> DataFrame:
     return once.groupBy("id").agg(F.count("*").alias("own"))
 
 
-def beside_first(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """Of pairs (a, rep): hits, a bit for each shingle of a that rep has, and outside, how many others rep has."""
-
-    def compare(batches):
-        for t in batches:
-            hits, outside = [], []
-            for x, y in zip(t.column(2), t.column(3), strict=True):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                has = np.zeros(-(-len(p) // 64) * 64, np.uint8)
-                has[np.searchsorted(p, np.intersect1d(p, q, assume_unique=True))] = 1
-                hits.append(np.packbits(has).view(np.int64))
-                outside.append(len(q) - int(has.sum()))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(hits, pa.list_(pa.int64())), pa.array(outside, pa.int64())], ["a", "rep", "hits", "outside"])
-
-    x, y = whole.select(F.col("id").alias("a"), F.col("s").alias("s_a")), whole.select(F.col("id").alias("rep"), F.col("s").alias("s_rep"))
-    return pairs.join(x, "a").join(y, "rep").select("a", "rep", "s_a", "s_rep").mapInArrow(compare, "a long, rep long, hits array<long>, outside long")
-
-
-def across(some: DataFrame, all_: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that can be linked. What two members have in common is at most
-    `common`, the size less the shingles that are a member's own; and at most the shingles of the bucket's first member
-    that both have, and the fewer of the others (`loose`, less own ones). The one side holds the members outside of the
-    bucket's largest component, so that a large group costs a comparison for each of them only."""
-    x, y = some.select("bucket", *[F.col(c).alias(f"x_{c}") for c in all_.columns if c != "bucket"]), all_
-
-    def enough(common):
-        return (100 + percent) * common >= percent * (F.col("n") + F.col("x_n"))
-
-    both = F.aggregate(F.zip_with("x_hits", "hits", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, v: t + v)
-    near = (F.col("x_root") != F.col("root")) & enough(F.least("x_common", "common")) & enough(both + F.least("x_loose", "loose"))
-    return x.join(y, (x["bucket"] == y["bucket"]) & near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept, class_id.
 
@@ -187,8 +139,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
        stands for it from here on. 2. In each bucket of equal bands every class is paired with the smallest id; sizes and
        the likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
        a bucket still holds several components, the pairs across them are decided too: shingles that no other member has, and
-       those of the bucket's first member that a member lacks, bound what two can have in common, which rules out nearly
-       all that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
+       those of the bucket's first member that a member has, bound what two can have in common, which rules out nearly all
+       that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
 
     Hot groups: classes and bucket minima are aggregated before the shuffle; joins have the small side unique by key, so
     that Spark splits the large one. Bands miss a pair at 0.8 with a probability of 1e-5, less above.
@@ -213,10 +165,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     whole = whole_sets(mixed.select("rep"), classes, docs, k)
     own = own_shingles(whole)
     able = classes.select("rep", F.col("n_shingles").alias("n")).join(whole.select(F.col("id").alias("rep")), "rep", "left_semi").join(own.withColumnRenamed("id", "rep"), "rep", "left")
-    able = able.select("rep", "n", F.coalesce("own", F.lit(0)).alias("own"), (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(100 * F.col("common") >= percent * F.col("n"))
+    able = able.select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(100 * F.col("common") >= percent * F.col("n"))
     placed = cut(mixed.join(able, "rep"), "placed")
     beside = beside_first(placed.select("a", "rep").distinct(), whole)
-    placed = placed.join(beside, ["a", "rep"]).withColumn("loose", F.greatest(F.lit(0), F.col("outside") - F.col("own"))).drop("own", "outside", "a")
+    placed = placed.drop("n").join(beside, ["a", "rep"]).drop("a")
     placed = cut(placed, "placed-beside")
     main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent).distinct().join(star, ["a", "b"], "left_anti")
