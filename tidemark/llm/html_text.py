@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!?(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<[?!][^>]*>""", re.DOTALL)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!?(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*|[^<>]*)>|<[?!][^>]*>|</?[A-Za-z][^<>]*\Z""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
