@@ -72,8 +72,9 @@ def seeded(seed: int, level: int, source: str | None, node: int) -> np.random.Ge
     return np.random.default_rng(xxhash.xxh3_64_intdigest(repr((seed, level, source, node)).encode()))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int, int] = (3, 2), most: int = 2, seed: int = 9, bucket_rows: int = 4096, keep: tuple[str, ...] = ()) -> DataFrame:
-    """How often the mix takes each document: doc_id, source, size, source_size, target, copies, taken, and `keep`.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int, int] = (3, 2), most: int = 2, seed: int = 9, bucket_rows: int = 4096) -> DataFrame:
+    """How often the mix takes each document: doc_id, source, size, source_size, target, copies, taken, row_key (a hash of
+    all columns of docs).
 
     A source's documents all ask for target / source_size copies. The whole part is given; the fractional parts are
     rounded by the pivotal method on word mass: in a bucket of (source, hash of the row) two documents at a time move
@@ -86,21 +87,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
     Nulls: a null text has size 0; a null source is a source of its own, last in order; a null doc_id is kept. Size 0
     is taken 0 times (copies 0). Repeated rows are documents of their own. An empty table yields no rows."""
     n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words.alias("size"), *[c for c in keep if c not in ("doc_id", "source")])
-    if not keep:
-        rows = cut(rows, "sizes")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words.alias("size"), F.xxhash64(*docs.columns).alias("row_key"))
+    rows = cut(rows, "sizes")
     sums = sorted(((r["source"], r["n"], r["rows"]) for r in rows.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     spark = docs.sparkSession
     goal = targets([n for _, n, _ in sums], weights, share, most)
     plan = spark.createDataFrame([(s, n, t, -(-r // bucket_rows)) for (s, n, r), t in zip(sums, goal, strict=True)], "source string, source_size long, target double, buckets long")
     buckets = max([1, *(-(-r // bucket_rows) for _, _, r in sums)])
-    rows = rows.withColumn("bucket", F.xxhash64("doc_id", "size", "source")).alias("r").join((F.broadcast(plan) if len(sums) <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
+    rows = rows.withColumn("bucket", F.xxhash64("doc_id", "row_key")).alias("r").join((F.broadcast(plan) if len(sums) <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
     rows = rows.withColumn("bucket", F.pmod("bucket", "buckets")).drop("buckets").withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
 
     def round_up_the_tree(level: int, last: bool):
         def work(pdf: pd.DataFrame) -> pd.DataFrame:
             source = None if pd.isna(pdf["source"].iat[0]) else pdf["source"].iat[0]
-            pdf = pdf.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", na_position="last").reset_index(drop=True)
+            pdf = pdf.sort_values(["size", "doc_id", "row_key"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
             size = pdf["size"].to_numpy(np.float64)
             if level == 0:
                 f = np.where(size > 0, (pdf["target"] / pdf["source_size"].where(pdf["source_size"] > 0, 1)).to_numpy(), 0.0)
@@ -132,4 +132,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
             break
         rows = got.where(~settled).withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("long"))
         level, buckets = level + 1, -(-buckets // FAN_IN)
-    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[c for c in keep if c not in ("doc_id", "source")])
+    return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_key")
+
+
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of docs, all columns, each as often as mix() takes it."""
+    copies = mix(docs, **settings).groupBy("doc_id", "row_key").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    copies = cut(copies.withColumnsRenamed({"doc_id": "__id", "row_key": "__key"}), "copies")
+    rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    if not copies.where("__rows > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "__row"])  # the copies of equal rows are summed
+    taken = rows.join(copies.where("__copies > 0"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__key")))
+    return taken.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
