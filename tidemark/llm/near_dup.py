@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, cut, lower_words, mix64, odd_numbers, shingle_set
 from .components import components
-from .pairs import across, beside_first, verified
+from .pairs import across, beside_first, verified, with_centre
 
 #: SetSketch: base of the register scale, rate of the exponential variables, largest register value.
 BASE, RATE, MOST = 1.001, 20.0, 65_535
@@ -136,10 +136,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Two documents are linked if their sets of distinct k-word shingles (A-Z in lower case) share percent of their union.
     1. One pass makes SetSketch registers, 7 to a band, and a key of the set. Equal sets form a class, whose smallest id
-       stands for it from here on. 2. In each bucket of equal bands every class is paired with the smallest id; sizes and
-       the likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
+       stands for it from here on. 2. In each bucket of equal bands every class is paired with its centre; sizes and the
+       likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
        a bucket still holds several components, the pairs across them are decided too: shingles that no other member has, and
-       those of the bucket's first member that a member has, bound what two can have in common, which rules out nearly all
+       those of the bucket's centre that a member has, bound what two can have in common, which rules out nearly all
        that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
 
     Hot groups: classes and bucket minima are aggregated before the shuffle; joins have the small side unique by key, so
@@ -152,8 +152,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
     classes = cut(rows.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi"), "classes")
     members = classes.select("rep", F.explode("bands").alias("bucket"))
-    first = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("bucket", "a")
-    members = cut(members.join(first, "bucket"), "members")
+    first = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("bucket")
+    members = cut(with_centre(cut(members.join(first, "bucket"), "members"), "rep"), "members")
     star = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     close = near_enough(star, classes, percent)
     links = verified(close, whole_sets(close.select(F.explode(F.array("a", "b")).alias("rep")), classes, docs, k), percent)
