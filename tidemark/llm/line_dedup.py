@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 
 from .common import Sieve, cut, mix64, odd_numbers, slices, sorted_unique
 from .components import components
+from .pairs import across, beside_first, verified, with_centre
 
 #: Rows in a band and bands: lines at a similarity of 0.8 share no band with a probability of 6e-4, at 0.9 of 3e-7.
 BAND, BANDS = 4, 14
 BINS = BAND * BANDS
+#: Four bits of each bin, in four words of BINS bits. At a similarity of 0.8, 22 of the 224 differ, with a deviation of 7;
+#: pairs with more than FEW_BITS differing (five deviations) aren't verified.
+BIT_WORDS, FEW_BITS = 4, 57
+WORDS = tuple(f"w{i}" for i in range(BIT_WORDS))
 
 
 def normal_lines(text: str | None) -> list[tuple[int, str]]:
@@ -27,17 +32,22 @@ def line_key(line: str) -> bytes:
 
 def shingles(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the k-character shingles of all lines in a row, and where each line's begin; a shorter line is
-    one shingle."""
+    one shingle. Windows of a power of two grow by doubling; any other k takes one step a character."""
     lines = [line if len(line) >= k else line.ljust(k, "\0") for line in lines]
     size = np.fromiter(map(len, lines), np.int64, len(lines))
-    code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    m = odd_numbers(k, 21)
-    h = code[: len(code) - k + 1] * m[0]
-    for i in range(1, k):
-        h += code[i : len(code) - k + 1 + i] * m[i]
+    h = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    code, m, wide = h, odd_numbers(k, 21), 1
+    while wide < k:
+        step = wide if 2 * wide <= k and k % (2 * wide) == 0 else 1
+        tail = h if step == wide else code
+        n = len(code) - wide - step + 1
+        h = h[:n] * m[wide] + tail[wide : wide + n]
+        wide += step
     count = size - k + 1
     begin = np.concatenate(([0], np.cumsum(count)))
-    inside = np.arange(begin[-1]) + np.repeat(np.cumsum(size) - size - begin[:-1], count)
+    inside = np.ones(len(h), bool)
+    for gap in range(k - 1):  # windows that reach into the next line
+        inside[(np.cumsum(size)[:-1] - 1 - gap)] = False
     return mix64(h[inside]), begin
 
 
@@ -51,12 +61,13 @@ ORDER = order_of_bins()
 
 
 def signatures(lines: list[str], k: int) -> np.ndarray:
-    """Band keys of each line: one hash a shingle, the least in each bin by one-permutation MinHash; an empty bin takes
+    """BINS values of each line: one hash a shingle, the least in each bin by one-permutation MinHash; an empty bin takes
     the value of the first filled one in its order, so that bins agree with the probability of the similarity."""
     h, begin = shingles(lines, k)
     bins = (((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+    bins += np.repeat(np.arange(len(lines)) * BINS, np.diff(begin))
     least = np.full(len(lines) * BINS, 2**64 - 1, np.uint64)
-    np.minimum.at(least, np.repeat(np.arange(len(lines)) * BINS, np.diff(begin)) + bins, mix64(h + np.uint64(1)))
+    np.minimum.at(least, bins, (h << np.uint64(32)) | (h >> np.uint64(32)))  # the bin says nothing about the low half
     least = least.reshape(-1, BINS)
     full = least != np.uint64(2**64 - 1)
     row, col = np.nonzero(~full)
@@ -68,12 +79,23 @@ def signatures(lines: list[str], k: int) -> np.ndarray:
         found = full[row, at]
         out[row[found], col[found]] = least[row[found], at[found]]
         row, col = row[~found], col[~found]
-    key = np.full((len(lines), BANDS), 0x10, np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return out
+
+
+def bands(values: np.ndarray) -> np.ndarray:
+    """Band keys of signatures."""
+    key = np.full((len(values), BANDS), 0x10, np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for part in range(BAND):
-        key = mix64(key ^ out[:, part::BAND])
+        key = mix64(key ^ values[:, part::BAND])
     return key.view(np.int64)
 
 
+def low_bits(values: np.ndarray) -> np.ndarray:
+    """BIT_WORDS words of bits of signatures."""
+    place = np.uint64(1) << np.arange(BINS, dtype=np.uint64)
+    return np.stack([(((values >> np.uint64(i)) & np.uint64(1)) * place).sum(1, dtype=np.uint64) for i in range(BIT_WORDS)], axis=1).view(np.int64)
+
+
 class Seen(set):
     """Keys that a task has met; emptied at `most`, which only costs that some lines are looked at twice."""
 
@@ -95,130 +117,144 @@ def node_of(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, doc (hash of the text), line, key, node: all lines that aren't blank."""
+def all_lines(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, doc (hash of the text), line, key, node, bands: all lines that aren't blank; bands (a key for each) come
+    with the first of equal lines that a task meets. A row with line -1 stands for the document itself and has the number
+    of its lines as node."""
+
+    def work(batches):
+        seen = Seen()
+        for b in batches:
+            ids, texts, hashes = (b.column(c).to_pylist() for c in range(3))
+            for i, j in slices(texts, 200_000):
+                rows, fresh = [], []
+                for n in range(i, j):
+                    found = normal_lines(texts[n])
+                    rows.append((ids[n], hashes[n], -1, None, len(found)))
+                    for at, x in found:
+                        key = line_key(x)
+                        if seen.new(key):
+                            fresh.append((len(rows), x))
+                        rows.append((ids[n], hashes[n], at, key, node_of(key)))
+                band = [None] * len(rows)
+                if fresh:
+                    for (at, _), v in zip(fresh, bands(signatures([x for _, x in fresh], k)), strict=True):
+                        band[at] = v
+                cols = zip(list(zip(*rows, strict=True)), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()), strict=True)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in cols], pa.array(band, pa.list_(pa.int64()))], ["doc_id", "doc", "line", "key", "node", "bands"])
+
+    return docs.select("doc_id", "text", "doc").mapInArrow(work, "doc_id long, doc long, line int, key binary, node long, bands array<long>")
+
+
+def members_of(lines: DataFrame, first: DataFrame) -> DataFrame:
+    """bucket, node: members of the buckets in `first`; a sieve keeps other band keys out of the shuffle."""
+    shared = lines.sparkSession.sparkContext.broadcast(Sieve(first, "bucket"))
 
     def work(batches):
         for b in batches:
-            ids, doc, line, key = [], [], [], []
-            for i, t, h in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
-                found = normal_lines(t)
-                ids += [i] * len(found)
-                doc += [h] * len(found)
-                line += [n for n, _ in found]
-                key += [line_key(x) for _, x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(key, pa.binary()), pa.array(map(node_of, key), pa.int64())], ["doc_id", "doc", "line", "key", "node"])
+            if b.num_rows:
+                key = b.column(1).flatten().to_numpy(zero_copy_only=False)
+                node = np.repeat(b.column(0).to_numpy(), BANDS)
+                ok = shared.value.may_have(key)
+                yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(key[ok])], ["node", "bucket"])
 
-    return docs.select("doc_id", "text", "doc").mapInArrow(work, "doc_id long, doc long, line int, key binary, node long")
+    return lines.where("bands is not null").select("node", "bands").mapInArrow(work, "node long, bucket long").join(first, "bucket")
 
 
-def bucket_rows(docs: DataFrame, k: int, sieve: Sieve | None = None) -> DataFrame:
-    """bucket, node: the band keys of each line, once a task. With a sieve, those that it may have."""
-    shared = docs.sparkSession.sparkContext.broadcast(sieve)
+def member_texts(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """id, s (normal form) and sketch bits of the lines in nodes."""
+    shared = docs.sparkSession.sparkContext.broadcast(Sieve(nodes, "node"))
 
     def work(batches):
         seen = Seen()
         for b in batches:
             texts = b.column(0).to_pylist()
-            for i, j in slices(texts, 1_000_000):
-                lines = [(node_of(key), x) for t in texts[i:j] for _, x in normal_lines(t) if seen.new(key := line_key(x))]
-                if not lines:
-                    continue
-                key = signatures([x for _, x in lines], k).reshape(-1)
-                node = np.repeat(np.array([n for n, _ in lines], np.int64), BANDS)
-                if shared.value is not None:
-                    ok = shared.value.may_have(key)
-                    key, node = key[ok], node[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["bucket", "node"])
-
-    return docs.select("text").mapInArrow(work, "bucket long, node long")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose lines' shingle sets reach the similarity."""
-    named = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named-lines")
-    shared = docs.sparkSession.sparkContext.broadcast(Sieve(named, "node"))
-
-    def texts(batches):
-        seen = Seen()
-        for b in batches:
-            for t in b.column(0):
-                found = [(node_of(key), x) for _, x in normal_lines(t.as_py()) if seen.new(key := line_key(x))]
+            for i, j in slices(texts, 200_000):
+                found = [(node_of(key), x) for t in texts[i:j] for _, x in normal_lines(t) if seen.new(key := line_key(x))]
                 if found:
-                    n = np.array([i for i, _ in found], np.int64)
-                    ok = np.flatnonzero(shared.value.may_have(n))
+                    node = np.array([n for n, _ in found], np.int64)
+                    ok = np.flatnonzero(shared.value.may_have(node))
                     if len(ok):
-                        yield pa.RecordBatch.from_arrays([pa.array(n[ok]), pa.array([found[i][1] for i in ok], pa.string())], ["node", "x"])
+                        lines = [found[x][1] for x in ok]
+                        bits = low_bits(signatures(lines, k))
+                        yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(lines, pa.string()), *[pa.array(np.ascontiguousarray(bits[:, w])) for w in range(BIT_WORDS)]], ["id", "s", *WORDS])
 
-    lines = cut(docs.select("text").mapInArrow(texts, "node long, x string").join(named, "node", "left_semi").dropDuplicates(["node"]), "line-texts")
+    rows = docs.select("text").mapInArrow(work, "id long, s string, " + ", ".join(f"{w} long" for w in WORDS))
+    return cut(rows.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi").dropDuplicates(["id"]), "line-texts")
 
-    def compare(batches):
-        for t in batches:
-            keep = []
-            for x, y in zip(t.column(2), t.column(3), strict=True):
-                p, q = (sorted_unique(shingles([s.as_py()], k)[0]) for s in (x, y))
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
-            yield t.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x, y = (lines.select(F.col("node").alias(n), F.col("x").alias(f"x_{n}"), F.length("x").alias(f"n_{n}")) for n in "ab")
-    return cut(pairs.join(x, "a").join(y, "b").select("a", "b", "x_a", "x_b").mapInArrow(compare, "a long, b long"), "line-links")
+def near_enough(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketch bits allow for a link."""
+    a, b = (texts.select(F.col("id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in WORDS]) for c in "ab")
+    differ = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WORDS), F.lit(0))
+    return pairs.join(a, "a").join(b, "b").where(differ <= FEW_BITS).select("a", "b")
 
 
-def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> DataFrame:
-    """doc_id, doc, dropped: the lines to drop, of each document with any (doc is xxhash64 of the text, lines count from 0).
+def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """doc_id, doc, dropped: the lines to drop, of each document with any (doc is xxhash64 of the text, lines count from
+    0); and the table of all_lines().
 
     Lines of all documents, in normal form, are linked if their sets of k-character shingles share percent of their
     union. Of each component the first line by (doc_id, hash of the text, number) stays. Blank lines aren't lines.
 
-    1. Buckets: signatures of all lines, banded; a bucket's least and largest node are aggregated before the shuffle.
-    Buckets with one node go; a bounded sieve of the others keeps rows without a partner out of the second pass. 2. Each
-    node of a bucket is paired with the least one and verified on whole lines. 3. Components. 4. Pairs across the
-    components of a bucket are verified too, and components formed anew. 5. Lines of equal normal form share a key; the
+    1. One pass writes keys and band keys of all lines; a bucket's least and largest node are aggregated before the
+    shuffle, and buckets with one node go. 2. A second pass fetches the texts of the others; bounded sieves keep all else
+    out of the shuffles. 3. Each node of a bucket is paired with its centre; sketch bits, then whole shingle sets
+    decide. 4. Components. 5. Pairs across the components of a bucket are decided too, after exact bounds and sketch
+    bits have ruled out what can't be linked, and components formed anew. 6. Lines of equal normal form share a key; the
     first of a component's keys stays. No step gathers a group in one task: minima are combined first, and joins have the
     small side unique by key.
 
     Nulls: a null or empty text has no lines; a null doc_id comes first in order. Rows that repeat doc_id and text are
     one document here and lose the same lines. An empty table yields no rows."""
+
+    kept: dict[str, np.ndarray] = {}
+
+    def load(line: str) -> np.ndarray:
+        found = kept.get(line)
+        if found is None:
+            found = sorted_unique(shingles([line], k)[0])
+            if len(line) < 2000:  # first members of buckets come again and again
+                if len(kept) >= 2000:
+                    kept.clear()
+                kept[line] = found
+        return found
+
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("doc"))
-    first = bucket_rows(docs, k).groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("bucket", "a")
+    lines = cut(all_lines(docs, k), "lines")
+    first = lines.where("bands is not null").select("node", F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("bucket")
     first = cut(first, "line-buckets")
-    members = cut(bucket_rows(docs, k, Sieve(first, "bucket")).join(first, "bucket"), "line-members")
-    star = cut(members.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "line-stars")
-    links = verified(star, docs, k, percent)
+    members = cut(with_centre(cut(members_of(lines, first).distinct(), "line-members"), "node"), "line-members")
+    texts = member_texts(docs, cut(members.select("node").distinct(), "line-nodes"), k)
+    star = members.where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    links = verified(cut(near_enough(star, texts), "line-close"), texts, percent, load)
     roots = cut(components(links, "line-components"), "line-roots").withColumnRenamed("node", "of")
 
-    placed = members.join(roots, F.col("node") == F.col("of"), "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, F.col("node") == F.col("of"), "left").select("bucket", "a", F.col("node").alias("rep"), F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    placed = cut(placed.join(mixed, "bucket").distinct(), "line-mixed")
-    parts = placed.select("bucket", "root").distinct()
-    across = parts.withColumnRenamed("root", "x").join(parts.withColumnRenamed("root", "y"), "bucket").where("x < y")
-    p, q = placed.select("bucket", F.col("root").alias("x"), F.col("node").alias("p")), placed.select("bucket", F.col("root").alias("y"), F.col("node").alias("q"))
-    rest = across.join(p, ["bucket", "x"]).join(q, ["bucket", "y"]).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    rest = cut(rest.join(star, ["a", "b"], "left_anti"), "line-rest")
-    if not rest.isEmpty():
-        more = verified(rest, docs, k, percent)
-        if not more.isEmpty():
-            roots = cut(components(links.unionByName(more), "line-components"), "line-roots").withColumnRenamed("node", "of")
-
-    lines = cut(occurrences(docs), "lines")
-    owner = lines.groupBy("key", "node").agg(F.min(F.struct("doc_id", "doc", "line")).alias("first"))
+    mixed = cut(placed.join(mixed, "bucket"), "line-mixed")
+    beside = beside_first(mixed.select("a", "rep").distinct(), texts, load)
+    bits = texts.select(F.col("id").alias("rep"), *WORDS)
+    placed = cut(mixed.join(beside.withColumn("common", F.col("n")), ["a", "rep"]).join(bits, "rep").drop("a"), "line-placed")
+    main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent, WORDS, FEW_BITS).distinct().join(star, ["a", "b"], "left_anti")
+    more = verified(cut(rest, "line-rest"), texts, percent, load)
+    if not more.isEmpty():
+        roots = cut(components(links.unionByName(more), "line-components"), "line-roots").withColumnRenamed("node", "of")
+
+    lines_only = lines.where("line >= 0").select("doc_id", "doc", "line", "key", "node")
+    owner = lines_only.groupBy("key", "node").agg(F.min(F.struct("doc_id", "doc", "line")).alias("first"))
     owner = owner.join(roots, F.col("node") == F.col("of"), "left").select("key", "first", "root")
     best = owner.where("root is not null").groupBy("root").agg(F.min("first").alias("best"))
     keeper = owner.join(best, "root", "left").select("key", F.coalesce("best", "first").alias("keeper"))
-    gone = lines.join(keeper, "key").where(~F.struct("doc_id", "doc", "line").eqNullSafe(F.col("keeper")))
-    return gone.groupBy("doc_id", "doc").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
+    gone = lines_only.join(keeper, "key").where(~F.struct("doc_id", "doc", "line").eqNullSafe(F.col("keeper")))
+    return gone.groupBy("doc_id", "doc").agg(F.array_sort(F.collect_set("line")).alias("dropped")), lines
 
 
 def line_counts(docs: DataFrame, k: int = 8, percent: int = 80) -> DataFrame:
     """Per document: doc_id, n_lines (not blank), n_dropped, dropped (line numbers, comma-joined); see duplicate_lines()."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("doc"))
-
-    def count(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(normal_lines(t.as_py())) for t in b.column(1)], pa.int64())], ["doc_id", "doc", "n_lines"])
-
-    a, b = rows.mapInArrow(count, "doc_id long, doc long, n_lines long").alias("a"), duplicate_lines(docs, k, percent).alias("b")
+    drop, lines = duplicate_lines(docs, k, percent)
+    a, b = lines.where("line = -1").select("doc_id", "doc", F.col("node").alias("n_lines")).alias("a"), drop.alias("b")
     both = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.doc") == F.col("b.doc")), "left")
     return both.select("a.doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped"))
 
@@ -226,11 +262,12 @@ def line_counts(docs: DataFrame, k: int = 8, percent: int = 80) -> DataFrame:
 def without_duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, without the lines of duplicate_lines(). A document whose lines were all dropped goes;
     one that had none stays."""
-    drop = duplicate_lines(docs, k, percent)
+    drop, _ = duplicate_lines(docs, k, percent)
     drop = drop.select(*[F.col(c).alias(f"__{c}") for c in drop.columns])
     rows = docs.withColumn("__doc_key", F.xxhash64("text"))
     rows = rows.join(drop, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id")) & (F.col("__doc_key") == F.col("__doc")), "left").select(*docs.columns, "__dropped")
-    at, which = docs.columns.index("text"), len(docs.columns)
+    names = docs.columns
+    at, which = names.index("text"), len(names)
 
     def work(batches):
         for b in batches:
@@ -243,6 +280,6 @@ def without_duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> D
                     texts[i], keep[i] = "\n".join(left), any(x.strip() for x in left)
             cols = list(b.columns[:which])
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, docs.columns).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(work, docs.schema)
