@@ -44,31 +44,70 @@ def known(batch: DataFrame, history: DataFrame | None) -> DataFrame:
     return values if history is None else layered(values, history.select(*KEY, "value"), KEY, "value")
 
 
-def computed(values: DataFrame, key: str, chain: str, value: Column, needs: list[str], source: str = "COMPUTED") -> DataFrame:
-    rows = wide(values, *needs).select("date", F.lit(chain).alias("chain"), F.lit(key).alias("metric_key"), value.alias("value"))
-    return facts(rows, source)
+def times_price(value: Column, price: Column, decimals: int) -> Column:
+    """An exact product of a value and a price with four decimals each, rounded half up."""
+    return F.round(value.cast(EXACT) * price.cast("decimal(12,4)"), decimals).cast("double")
 
 
-def returning_claimers(values: DataFrame, chain: str = "xdc") -> DataFrame:
+def returning_rules(chain: str = "xdc") -> dict[tuple[str, str], Column]:
     """max(0, active - new) where both are known."""
-    dau, new = f"{chain}_dau", f"{chain}_new_claimers"
-    both = F.col(dau).isNotNull() & F.col(new).isNotNull()
-    return computed(values, f"{chain}_returning_claimers", chain.upper(), F.when(both, F.greatest(F.lit(0.0), F.col(dau) - F.col(new))), [dau, new])
+    dau, new = F.col(f"{chain}_dau"), F.col(f"{chain}_new_claimers")
+    return {(chain.upper(), f"{chain}_returning_claimers"): F.when(dau.isNotNull() & new.isNotNull(), F.greatest(F.lit(0.0), dau - new))}
 
 
-def times_price(value: Column, price: Column, decimals: int) -> Column:
-    """An exact product of a value and a price with four decimals each, rounded half up."""
-    return F.round(value.cast(EXACT) * price.cast("decimal(12,4)"), decimals).cast("double")
+def usd_rules() -> dict[tuple[str, str], Column]:
+    """Token amounts at the same day's price; nothing without a price, or at a price of 0."""
+    out = {}
+    for m in METRICS.values():
+        if m.adapter == "Computed":
+            price = F.col("xdc_gd_price" if m.chains[0] == "XDC" else "celo_gd_price")
+            out[m.chains[0], m.key] = F.when(price != 0, times_price(F.col(m.spec["source"]), price, m.decimals))
+    return out
 
 
-def usd_computed(values: DataFrame, metrics: list[Metric] | None = None) -> DataFrame:
-    """Token amounts at the same day's price; a day without a price, or with a price of 0, has no row."""
-    metrics = metrics or [m for m in METRICS.values() if m.adapter == "Computed"]
-    by_source = {m.spec["source"]: m for m in metrics}
-    price = values.where(F.col("metric_key").isin("xdc_gd_price", "celo_gd_price") & (F.col("value") != 0)).select("date", F.split("metric_key", "_")[0].alias("p"), F.col("value").alias("price"))
-    rows = values.where(F.col("metric_key").isin(*by_source)).withColumn("p", F.when(F.col("chain") == "XDC", "xdc").otherwise("celo"))
-    target = F.element_at(F.create_map(*[F.lit(x) for s, m in by_source.items() for x in (s, m.key)]), F.col("metric_key"))
-    return facts(rows.join(price, ["date", "p"]).select("date", "chain", target.alias("metric_key"), times_price(F.col("value"), F.col("price"), 2).alias("value")), "COMPUTED")
+def supply_rules() -> dict[tuple[str, str], Column]:
+    """Circulating supply of one chain, and of four chains only where all four are known (a sum with a null is null)."""
+    eth = F.col("eth_gd_total_supply") - F.col("eth_gd_frozen_supply")
+    total = eth + F.col("fuse_gd_in_circulation") + F.col("celo_gd_in_circulation") + F.col("xdc_gd_in_circulation")
+    return {("ETH", "eth_gd_in_circulation"): eth, ("AGG", "agg_gd_in_circulation"): total}
+
+
+def reserve_rules() -> dict[tuple[str, str], Column]:
+    """Price spread, backing ratio, minted amount, and growth against the calendar day before (not the row before)."""
+    liquidity, w = F.col("xdc_reserve_liquidity_usd"), Window.orderBy("date")
+    before = F.when(F.lag("date").over(w) == F.date_sub("date", 1), F.lag(liquidity).over(w))
+    return {
+        ("XDC", "gd_price_spread"): F.col("xdc_gd_price") - F.col("celo_gd_price"), ("XDC", "xdc_reserve_backing_ratio"): F.when(F.col("xdc_gd_in_circulation") > 0, F.try_divide(liquidity, F.col("xdc_gd_in_circulation"))),
+        ("XDC", "xdc_daily_gd_minted"): F.col("xdc_gd_claimed_1d"), ("XDC", "xdc_reserve_growth_abs"): liquidity - before,
+    }
+
+
+#: All metrics that the rules read.
+NEEDS = sorted({m.spec["source"] for m in METRICS.values() if m.adapter == "Computed"} | {"xdc_dau", "xdc_new_claimers", "xdc_gd_price", "celo_gd_price", "eth_gd_total_supply", "eth_gd_frozen_supply", "fuse_gd_in_circulation", "celo_gd_in_circulation", "xdc_gd_in_circulation", "xdc_reserve_liquidity_usd", "xdc_gd_claimed_1d"})
+
+
+def computed(values: DataFrame, rules: dict[tuple[str, str], Column]) -> DataFrame:
+    """Rows of computed metrics: one aggregation puts a day's values side by side (a row a day from here on), and each rule
+    is an expression on it."""
+    cells = [F.struct(F.lit(chain).alias("chain"), F.lit(key).alias("metric_key"), value.alias("value")) for (chain, key), value in rules.items()]
+    days = wide(values, *NEEDS).select("date", *[c.alias(f"r{i}") for i, c in enumerate(cells)])
+    return facts(days.select("date", F.inline(F.array(*[f"r{i}" for i in range(len(cells))]))), "COMPUTED")
+
+
+def returning_claimers(values: DataFrame) -> DataFrame:
+    return computed(values, returning_rules())
+
+
+def usd_computed(values: DataFrame) -> DataFrame:
+    return computed(values, usd_rules())
+
+
+def supply_computed(values: DataFrame) -> DataFrame:
+    return computed(values, supply_rules())
+
+
+def reserve_computed(values: DataFrame) -> DataFrame:
+    return computed(values, reserve_rules())
 
 
 def price_warnings(values: DataFrame, metrics: list[Metric] | None = None) -> DataFrame:
@@ -80,26 +119,6 @@ def price_warnings(values: DataFrame, metrics: list[Metric] | None = None) -> Da
     return rows.select("date", target.alias("metric_key"), F.concat(F.lit("price not available for "), F.col("date").cast("string"), F.lit(" - row skipped")).alias("details"))
 
 
-def supply_computed(values: DataFrame) -> DataFrame:
-    """Circulating supply of one chain, and of four chains only where all four are known."""
-    eth = computed(values, "eth_gd_in_circulation", "ETH", F.col("eth_gd_total_supply") - F.col("eth_gd_frozen_supply"), ["eth_gd_total_supply", "eth_gd_frozen_supply"])
-    parts = [f"{c.lower()}_gd_in_circulation" for c in ("ETH", "FUSE", "CELO", "XDC")]
-    every = values.select(*KEY, "value").unionByName(eth.select(*KEY, "value"))
-    total = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
-    return eth.unionByName(computed(every, "agg_gd_in_circulation", "AGG", total, parts))
-
-
-def reserve_computed(values: DataFrame) -> DataFrame:
-    """Price spread, backing ratio, minted amount, and growth against the calendar day before."""
-    spread = computed(values, "gd_price_spread", "XDC", F.col("xdc_gd_price") - F.col("celo_gd_price"), ["xdc_gd_price", "celo_gd_price"])
-    ratio = computed(values, "xdc_reserve_backing_ratio", "XDC", F.when(F.col("xdc_gd_in_circulation") > 0, F.try_divide("xdc_reserve_liquidity_usd", "xdc_gd_in_circulation")), ["xdc_reserve_liquidity_usd", "xdc_gd_in_circulation"])
-    minted = computed(values, "xdc_daily_gd_minted", "XDC", F.col("xdc_gd_claimed_1d"), ["xdc_gd_claimed_1d"])
-    today = wide(values, "xdc_reserve_liquidity_usd")
-    before = today.select(F.date_add("date", 1).alias("date"), F.col("xdc_reserve_liquidity_usd").alias("before"))
-    growth = today.join(before, "date").select("date", F.lit("XDC").alias("chain"), F.lit("xdc_reserve_growth_abs").alias("metric_key"), (F.col("xdc_reserve_liquidity_usd") - F.col("before")).alias("value"))
-    return spread.unionByName(ratio).unionByName(minted).unionByName(facts(growth, "COMPUTED"))
-
-
 def with_decimals(rows: DataFrame) -> DataFrame:
     """Values rounded to the registered decimals of their metric (2, where it has none)."""
     by = {}
@@ -115,13 +134,8 @@ def with_decimals(rows: DataFrame) -> DataFrame:
 def facts_build(batch: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """A batch of fetched facts and all that is computed from it and from stored facts, in order of dependency: prices and
     supplies come first wherever they come from, so a day is valued in the run that brings its price."""
-    values = known(batch, history)
-    mine = batch.select(*KEY, "value", "source")
-    new = [returning_claimers(values), usd_computed(values), supply_computed(values)]
-    new.append(reserve_computed(values))
-    for rows in new:
-        mine = mine.unionByName(rows)
-    return with_decimals(mine)
+    rules = returning_rules() | usd_rules() | supply_rules() | reserve_rules()
+    return with_decimals(batch.select(*KEY, "value", "source").unionByName(computed(known(batch, history), rules)))
 
 
 def facts_agg(batch: DataFrame, history: DataFrame | None = None) -> DataFrame:

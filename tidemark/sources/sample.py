@@ -127,26 +127,25 @@ def metric_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetched facts: activity, amounts, prices, supplies and reserves by chain and day."""
     e = events(spark, sf_dir).withColumn("date", F.to_date("block_timestamp")).where(F.col("block_timestamp") < F.lit(AS_OF).cast("timestamp_ntz"))
     wallet = F.col("wallet")
-    claims_ = e.where(F.col("event_type").isin("view", "click"))
-    first = claims_.groupBy("network", "wallet").agg(F.min("date").alias("date"))
-    day = F.dayofmonth("date")
-    parts = [
-        claims_.groupBy("date", "network").agg(F.countDistinct(wallet).cast("double").alias("value")).withColumn("m", F.lit("dau")),
-        first.groupBy("date", "network").agg(F.count("*").cast("double").alias("value")).withColumn("m", F.lit("new_claimers")),
-        claims_.groupBy("date", "network").agg((F.sum("cents") / 100).alias("value")).withColumn("m", F.lit("gd_claimed_1d")),
-        claims_.where(day % 3 != 0).groupBy("date", "network").agg((F.sum("cents") / 100).alias("value")).withColumn("m", F.lit("p2p_gd_amount")),
-        e.where((F.col("event_type") == "purchase") & (day % 4 != 0)).groupBy("date", "network").agg((F.floor(F.sum("cents").cast("double") / F.count("*") * 100) / 10000).alias("value")).withColumn("m", F.lit("gd_price")),
-        e.where((F.col("event_type") == "error") & (day % 6 != 0)).groupBy("date", "network").agg(F.sum("cents").cast("double").alias("value")).withColumn("m", F.lit("gd_in_circulation")),
-    ]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    every = every.where("network <> 'fuse' or m = 'gd_in_circulation'").select("date", F.upper("network").alias("chain"), F.concat("network", F.lit("_"), "m").alias("metric_key"), "value")
-    sums = lambda kind, mod: e.where((F.col("event_type") == kind) & (day % mod != 0)).groupBy("date").agg((F.sum("cents") / 100).alias("value"))
-    more = [("signup", 5, "XDC", "xdc_reserve_liquidity_usd"), ("view", 9, "ETH", "eth_gd_total_supply"), ("error", 8, "ETH", "eth_gd_frozen_supply")]
-    for kind, mod, chain, key in more:
-        every = every.unionByName(sums(kind, mod).select("date", F.lit(chain).alias("chain"), F.lit(key).alias("metric_key"), "value"))
-    return every.withColumn("source", F.lit("SAMPLE"))
+    kind, day = F.col("event_type"), F.dayofmonth("date")
+    claim = kind.isin("view", "click")
+    cents = lambda c: F.sum(F.when(c, F.col("cents")))
+    base = e.groupBy("date", "network").agg(
+        F.countDistinct(F.when(claim, F.col("wallet"))).alias("dau"), cents(claim).alias("claimed"), cents(kind == "purchase").alias("bought"), F.count_if(kind == "purchase").alias("purchases"),
+        *[cents(kind == k).alias(k) for k in ("error", "signup", "view")],
+    )
+    metrics = {
+        "dau": F.when(F.col("dau") > 0, F.col("dau").cast("double")), "gd_claimed_1d": F.col("claimed") / 100, "p2p_gd_amount": F.when(day % 3 != 0, F.col("claimed") / 100),
+        "gd_price": F.when((day % 4 != 0) & (F.col("purchases") > 0), F.floor(F.col("bought").cast("double") / F.col("purchases") * 100) / 10000), "gd_in_circulation": F.when(day % 6 != 0, F.col("error").cast("double")),
+    }
+    each = lambda df, named: df.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("m"), v.alias("value")) for k, v in named.items()])).alias("x")).select("*", "x.*").where("value is not null")
+    first = e.where(claim).groupBy("network", "wallet").agg(F.min("date").alias("date")).groupBy("date", "network").agg(F.count("*").cast("double").alias("value")).withColumn("m", F.lit("new_claimers"))
+    every = each(base, metrics).select("date", "network", "m", "value").unionByName(first).where("network <> 'fuse' or m = 'gd_in_circulation'")
+    every = every.select("date", F.upper("network").alias("chain"), F.concat("network", F.lit("_"), "m").alias("metric_key"), "value")
+    total = base.groupBy("date").agg(*[F.sum(k).alias(k) for k in ("signup", "view", "error")])
+    more = each(total, {"xdc_reserve_liquidity_usd": F.when(day % 5 != 0, F.col("signup") / 100), "eth_gd_total_supply": F.when(day % 9 != 0, F.col("view") / 100), "eth_gd_frozen_supply": F.when(day % 8 != 0, F.col("error") / 100)})
+    more = more.select("date", F.when(F.startswith("m", F.lit("xdc")), "XDC").otherwise("ETH").alias("chain"), F.col("m").alias("metric_key"), "value")
+    return every.unionByName(more).withColumn("source", F.lit("SAMPLE"))
 
 
 def invite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
