@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import WordHashes, cut, id_crc, lower_words, mix64
 
 #: Code points of the documents that form one chunk, and n-grams that one shard counts.
-CHUNK_CHARS, SHARD_ENTRIES = 6_000_000, 1_500_000
+CHUNK_CHARS, SHARD_ENTRIES = 3_000_000, 700_000
 END = xxhash.xxh3_64_intdigest(b"\0 end of text")
 UNIGRAM, BIGRAM, TEXTS, FOUND = range(4)
 SCHEMA = "chunk long, kind int, shard int, a binary, b binary, c binary"
