@@ -71,3 +71,13 @@ def test_urls(spark):
     assert one(spark, urls.campaign_parts(F.col("x")), "a-b-2024_02-n-m").asDict() == {"initiative": "a", "goal": "b", "month": "2024_02", "name": "n-m"}
     df = spark.createDataFrame([("Twitter",), ("myspace",), (None,)], "source string")
     assert urls.unknown_values(df, "source").count() == 2
+
+
+def test_event_topics():
+    from tidemark.functions.keccak import keccak256, topic_of
+    from tidemark.sources.contracts import BOUNTY
+
+    assert keccak256(b"").hex() == "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470"
+    assert topic_of("Transfer(address,address,uint256)") == "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
+    assert keccak256(b"a" * 136) != keccak256(b"a" * 135)
+    assert BOUNTY.arguments["bounty_paid"] == ("data", 0, "uint") and BOUNTY.arguments["invitee"] == ("topic", 2, "address")

@@ -182,3 +182,40 @@ def _invites_long() -> str:
 
 SQL["invites_daily_long"] = _invites_long()
 SQL["stream_ingest"] = "SELECT DISTINCT 'celo' AS network, CAST(l_orderkey AS VARCHAR) AS tx_hash, l_linenumber AS log_index FROM lineitem"
+
+
+def _more() -> dict[str, str]:
+    hexa = lambda n: f"'0x' || lpad(lower(to_hex({n})), 40, '0')"
+    out = {
+        "decode_claims": sql(f"SELECT network, block_number, tx_hash, log_index, '0xabc' AS contract_address, 'UBIClaimed' AS event_name, {hexa('block_number % 1000 + 1')} AS claimer, CAST(cents AS VARCHAR) AS amount FROM ev WHERE event_type IN ('view', 'click')", "ev"),
+        "decode_invites": sql(f"""SELECT network, block_number, tx_hash, log_index, '0xabc' AS contract_address, CASE event_type WHEN 'signup' THEN 'InviteeJoined' ELSE 'InviterBounty' END AS event_name, {hexa('k + 1')} AS inviter, {hexa('block_number % 1000 + 1')} AS invitee,
+            CASE event_type WHEN 'purchase' THEN CAST(cents AS VARCHAR) END AS bounty_paid, CASE event_type WHEN 'purchase' THEN CAST(k % 5 AS VARCHAR) END AS inviter_level, CASE event_type WHEN 'purchase' THEN k % 2 = 1 END AS earned_level FROM ev WHERE event_type IN ('signup', 'purchase')""", "ev"),
+    }
+    p2p = SQL["p2p_transfers"]
+    roll = ", ".join(f"CAST(sum({c}) OVER (ORDER BY date ROWS {n - 1} PRECEDING) AS DOUBLE) AS {c}_{n}d" for n in (7, 30) for c in ("total_tx_count", "total_amount_gd", "total_amount_usd"))
+    cells = ", ".join(f"coalesce(CAST(p.{c} AS DECIMAL(28,6)), 0) AS {c}" for c in ("total_tx_count", "total_amount_gd", "total_amount_usd"))
+    out["p2p_rolling"] = f"WITH q AS ({p2p}), s AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM q), (SELECT max(date) FROM q), INTERVAL 1 DAY)) AS DATE) AS date) SELECT date, {roll} FROM (SELECT s.date, {cells} FROM s LEFT JOIN q p USING (date))"
+    columns = {m.key: m.spec["column"] for m in METRICS.values() if m.spec.get("source") == "ubi_daily_summary"}
+    out["facts_tables"] = f"WITH q AS ({SQL['ubi_daily_summary']}) " + " UNION ALL ".join(f"SELECT date, 'CELO' AS chain, '{k}' AS metric_key, CAST({c} AS DOUBLE) AS value, 'UBI_DAILY_SUMMARY' AS source FROM q WHERE {c} IS NOT NULL" for k, c in columns.items())
+    day = "SELECT CAST(block_timestamp AS DATE) AS date, count(DISTINCT wallet) AS u, sum(cents) AS c, count(*) AS n FROM ev GROUP BY 1"
+    fields = {"activeUsers": ("dd", "u", 1), "newClaimers": ("dn", "u // 2", 1), "totalUBIDistributed": ("dd", "c", 100), "quota": ("dd", "n", 100), "transactionsCountClean": ("d", "n", 1), "transactionsValueClean": ("d", "c", 100)}
+    totals = {"transactionsCountClean": ("n", 1), "transactionsValueClean": ("c", 100), "totalInCirculation": ("c", 100), "uniqueClaimers": ("n", 1), "totalClaims": ("n", 1), "totalUBIDistributed": ("c", 100)}
+    parts = []
+    for m in METRICS.values():
+        kind, f = m.spec.get("type"), m.spec.get("field")
+        if m.adapter != "Subgraph" or kind == "computed":
+            continue
+        if kind in ("transaction_lifetime", "global_total"):
+            c, by = totals[f]
+            parts.append(f"SELECT DATE '2024-01-30' AS date, '{m.key}' AS metric_key, CAST(sum({c}) AS DOUBLE) / {by} AS value FROM d")
+        elif kind in ("daily_field", "transaction_daily"):
+            t, c, by = fields[f]
+            parts.append(f"SELECT date, '{m.key}' AS metric_key, CAST({c} AS DOUBLE) / {by} AS value FROM {t}")
+        else:
+            t, c, by = fields[f]
+            parts.append(f"SELECT date, '{m.key}' AS metric_key, CAST(sum(coalesce({c}, 0)) OVER (ORDER BY date ROWS {m.spec['days'] - 1} PRECEDING) AS DOUBLE) / {by} AS value FROM (SELECT CAST(unnest(generate_series((SELECT min(date) FROM {t}), (SELECT max(date) FROM {t}), INTERVAL 1 DAY)) AS DATE) AS date) LEFT JOIN {t} USING (date)")
+    out["facts_entities"] = sql("SELECT date, 'XDC' AS chain, metric_key, value, 'ENTITIES' AS source FROM (" + " UNION ALL ".join(parts) + ") WHERE date < DATE '2024-01-31' AND date >= DATE '2024-01-05'", "ev", more={"d": day, "dd": "SELECT * FROM d WHERE day(date) % 5 <> 0", "dn": "SELECT * FROM dd WHERE day(date) % 4 <> 0"})
+    return out
+
+
+SQL |= _more()

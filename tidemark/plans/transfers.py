@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import anti_by, semi_by
-from tidemark.operators.series import price_series, spine_of
+from tidemark.operators.series import over_days, price_series, spine_of
 from tidemark.plans.claims import USD, money
 from tidemark.sources.ledger import ZERO_ADDRESS
 
@@ -58,6 +58,15 @@ def p2p_transfers(transfers: DataFrame, withdrawals: DataFrame, contracts: DataF
     )
 
 
+def with_rolling(daily: DataFrame, days: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """Daily totals of p2p_transfers() with their sums over the last days, on a dense spine; days between that had no
+    transfer count 0."""
+    sums = ["total_tx_count", "total_amount_gd", "total_amount_usd"]
+    dense = spine_of(daily.select("date"), "date").join(daily.select("date", *sums), "date", "left")
+    exact = lambda c: F.coalesce(F.col(c).cast("decimal(28,6)"), F.lit(0))
+    return dense.select("date", *[F.sum(exact(c)).over(over_days((), "date", n - 1)).cast("double").alias(f"{c}_{n}d") for n in days for c in sums])
+
+
 def lifetime_claim_p2p(transfers: DataFrame, withdrawals: DataFrame, contracts: DataFrame, whitelist: DataFrame, at: Addresses, as_of: date) -> DataFrame:
     """One row of lifetime totals of peer-to-peer transfers and claims, up to yesterday."""
     closed = F.col("ts") < F.lit(as_of).cast("timestamp_ntz")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.operators import checks
 from tidemark.operators.keyed import dedup
-from tidemark.plans import claims, facts, faucet, invites, transfers, warehouse
-from tidemark.sources import ledger, sample
+from tidemark.plans import claims, entities, facts, faucet, invites, transfers, warehouse
+from tidemark.sources import contracts, ledger, sample
 from tidemark.sources.sample import AS_OF, FAUCET, LEDGER_AS_OF, LEDGER_NOW, UBI
 from tidemark.streaming import ingest
 
@@ -107,6 +107,14 @@ def health(s: SparkSession, d: str) -> DataFrame:
     return with_summary(out)
 
 
+def p2p(s: SparkSession, d: str) -> DataFrame:
+    return transfers.p2p_transfers(sample.transfers(s, d), sample.withdrawals(s, d), sample.contracts(s, d), sample.ledger_prices(s, d), LEDGER_AS_OF, 60)
+
+
+def ubi(s: SparkSession, d: str) -> DataFrame:
+    return claims.ubi_daily_summary(sample.claims(s, d), sample.event_prices(s, d), UBI, AS_OF, 10)
+
+
 QUERIES: dict[str, Query] = {
     "stg_claims": lambda s, d: plain(staged(s, d)),
     "stg_invites": stg_invites,
@@ -121,8 +129,13 @@ QUERIES: dict[str, Query] = {
     "invite_funnel": lambda s, d: warehouse.invite_funnel(lifecycle(s, d), AS_OF),
     "active_claimers": lambda s, d: claims.active_claimers(sample.claims(s, d), UBI, AS_OF, show_days=20),
     "daily_claimers": lambda s, d: claims.daily_claimers(sample.claims(s, d), UBI, AS_OF, 25),
-    "ubi_daily_summary": lambda s, d: claims.ubi_daily_summary(sample.claims(s, d), sample.event_prices(s, d), UBI, AS_OF, 10),
-    "p2p_transfers": lambda s, d: transfers.p2p_transfers(sample.transfers(s, d), sample.withdrawals(s, d), sample.contracts(s, d), sample.ledger_prices(s, d), LEDGER_AS_OF, 60),
+    "ubi_daily_summary": ubi,
+    "facts_tables": lambda s, d: facts.table_metrics("ubi_daily_summary", ubi(s, d)),
+    "facts_entities": lambda s, d: entities.entity_facts(*sample.entities(s, d), AS_OF, GENESIS["XDC"]),
+    "decode_claims": lambda s, d: contracts.claim_rows(sample.logs(s, d)),
+    "decode_invites": lambda s, d: contracts.invite_rows(sample.logs(s, d)),
+    "p2p_transfers": p2p,
+    "p2p_rolling": lambda s, d: transfers.with_rolling(p2p(s, d)),
     "lifetime_claim_p2p": lambda s, d: transfers.lifetime_claim_p2p(sample.transfers(s, d), sample.withdrawals(s, d), sample.contracts(s, d), sample.whitelist(s, d), transfers.Addresses(sample.CLAIM, sample.OTP), LEDGER_AS_OF),
     "most_interacted_contracts": lambda s, d: transfers.most_interacted_contracts(sample.transfers(s, d), sample.whitelist(s, d), sample.ledger_prices(s, d), sample.labels(s, d), sample.owners(s, d), sample.manual_labels(s)),
     "faucet_total": lambda s, d: faucet.faucet_total(sample.traces(s, d), sample.ledger_prices(s, d), FAUCET),

@@ -28,7 +28,7 @@ def argument(where: str, i: int, kind: str) -> Column:
     return uint256_text(word)
 
 
-def decode(logs: DataFrame, events: list[Event], *keep: str) -> DataFrame:
+def decode(logs: DataFrame, events: list[Event], *keep: str | Column) -> DataFrame:
     """Rows of the known events, all their arguments as columns (null where an event has none of that name). Logs of
     unknown topics go."""
     names = dict.fromkeys(a for e in events for a in e.arguments)
@@ -37,7 +37,7 @@ def decode(logs: DataFrame, events: list[Event], *keep: str) -> DataFrame:
     for e in events:
         columns = [argument(*e.arguments[a]).alias(a) if a in e.arguments else F.lit(None).cast("string").alias(a) for a in names]
         part = logs.where(topic == e.topic0.lower()).select(*keep, F.lit(e.name).alias("event_name"), *columns)
-        part = part.select(*keep, "event_name", *[F.col(a).cast("string").alias(a) for a in names])
+        part = part.withColumns({a: F.col(a).cast("string") for a in names})
         out = part if out is None else out.unionByName(part)
     return out
 

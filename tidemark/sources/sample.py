@@ -165,3 +165,34 @@ def invite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bounties(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
     return o.select(F.concat(F.lit("0x"), F.col("o_orderkey")).alias("tx_hash"), (F.col("o_orderkey") % 5).alias("log_index"), F.concat(F.lit("c"), F.col("o_orderkey") % 100).alias("inviter"), F.concat(F.lit("c"), F.col("o_custkey") % 100).alias("invitee"))
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undecoded logs: events with addresses of 20 bytes in topics and numbers in data words."""
+    from tidemark.functions.amounts import address_word
+    from tidemark.sources.contracts import BOUNTY, CLAIMED, JOINED
+
+    e = events(spark, sf_dir)
+    address = lambda n: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 40, "0"))
+    who, by = address_word(address(F.col("block_number") % 1000 + 1)), address_word(address(F.col("k") + 1))
+    word = lambda n: F.lpad(F.lower(F.hex(n)), 64, "0")
+    kind = F.col("event_type")
+    claim, joined = kind.isin("view", "click"), kind == "signup"
+    return e.select(
+        "network", "block_number", "tx_hash", "log_index", F.lit("0xABC").alias("address"), F.when(claim, CLAIMED.topic0).when(joined, JOINED.topic0).when(kind == "purchase", BOUNTY.topic0).otherwise("0x" + "00" * 32).alias("topic0"),
+        F.when(claim, who).otherwise(by).alias("topic1"), F.when(~claim, who).alias("topic2"), F.lit(None).cast("string").alias("topic3"),
+        F.when(claim, F.concat(F.lit("0x"), word(F.col("cents")))).when(joined, "0x").otherwise(F.concat(F.lit("0x"), word(F.col("cents")), word(F.col("k") % 5), word((F.col("k") % 2).cast("long")))).alias("data"),
+    )
+
+
+def entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Daily, transaction and lifetime entities as an indexer gives them: numbers as text."""
+    e = events(spark, sf_dir).withColumn("date", F.to_date("block_timestamp"))
+    text = lambda c: c.cast("long").cast("string")
+    wei = lambda c: F.concat(text(c), F.lit("0" * 16))
+    day = e.groupBy("date").agg(F.countDistinct("wallet").alias("u"), F.sum("cents").alias("c"), F.count("*").alias("n"))
+    daily = day.where(F.dayofmonth("date") % 5 != 0).select(F.unix_date("date").cast("string").alias("id"), F.format_number("u", 0).alias("activeUsers"), F.when(F.dayofmonth("date") % 4 != 0, text(F.col("u") / 2)).alias("newClaimers"), wei(F.col("c")).alias("totalUBIDistributed"), wei(F.col("n")).alias("quota"))
+    tx = day.select((F.unix_date("date").cast("long") * 86400).cast("string").alias("id"), text(F.col("n")).alias("transactionsCountClean"), wei(F.col("c")).alias("transactionsValueClean"), F.lit(None).cast("string").alias("totalInCirculation"))
+    total = day.agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+    tx = tx.unionByName(total.select(F.lit("aggregated").alias("id"), text(F.col("n")).alias("transactionsCountClean"), wei(F.col("c")).alias("transactionsValueClean"), wei(F.col("c")).alias("totalInCirculation")))
+    return daily, tx, total.select(text(F.col("n")).alias("uniqueClaimers"), text(F.col("n")).alias("totalClaims"), wei(F.col("c")).alias("totalUBIDistributed"))
