@@ -68,6 +68,20 @@ def settle(mass: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> tupl
     return out, carry
 
 
+def balance(copies: np.ndarray, size: np.ndarray, target: float, most: int, steps: int = 8) -> None:
+    """Brings the words taken nearer to the target by one copy more or less of the row whose size is nearest to the
+    difference, as long as that helps: for a source that is rounded as a whole, whose last row may be a large one."""
+    for _ in range(steps):
+        over = float((copies * size).sum()) - target
+        able = np.flatnonzero((size > 0) & ((copies > 0) if over > 0 else (copies < most)))
+        if not len(able):
+            return
+        i = able[np.argmin(np.abs(size[able] - abs(over)))]
+        if abs(abs(over) - size[i]) >= abs(over):
+            return
+        copies[i] += -1 if over > 0 else 1
+
+
 def seeded(seed: int, level: int, source: str | None, node: int) -> np.random.Generator:
     return np.random.default_rng(xxhash.xxh3_64_intdigest(repr((seed, level, source, node)).encode()))
 
@@ -80,7 +94,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
     rounded by the pivotal method on word mass: in a bucket of (source, hash of the row) two documents at a time move
     words between them at random until one is integral; one residual document a bucket goes up a reduction tree of
     fan-in 32, in which residuals are paired alike, until one is left a source, which is rounded to the nearer side. The
-    words of a source therefore stay at its target but for that last rounding. The large documents come first, so the
+    words of a source therefore stay at its target but for that last rounding; a source of a single bucket then moves a few
+    copies of rows whose sizes make up for it. The large documents come first, so the
     last is as a rule a small one. All draws come from seeds of (source, level, node) and buckets from row contents:
     reruns agree, whatever the partitions. Sources are one row each on the driver (names and sums only).
 
@@ -95,10 +110,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
     plan = spark.createDataFrame([(s, n, t, -(-r // bucket_rows)) for (s, n, r), t in zip(sums, goal, strict=True)], "source string, source_size long, target double, buckets long")
     buckets = max([1, *(-(-r // bucket_rows) for _, _, r in sums)])
     rows = rows.withColumn("bucket", F.xxhash64("doc_id", "row_key")).alias("r").join((F.broadcast(plan) if len(sums) <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
-    rows = rows.withColumn("bucket", F.pmod("bucket", "buckets")).drop("buckets").withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
+    rows = rows.withColumn("bucket", F.pmod("bucket", "buckets")).withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
 
-    def round_up_the_tree(level: int, last: bool):
+    def round_up_the_tree(level: int):
         def work(pdf: pd.DataFrame) -> pd.DataFrame:
+            last = pdf["buckets"].iat[0] == 1  # of its source
             source = None if pd.isna(pdf["source"].iat[0]) else pdf["source"].iat[0]
             pdf = pdf.sort_values(["size", "doc_id", "row_key"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
             size = pdf["size"].to_numpy(np.float64)
@@ -117,20 +133,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
                     pdf.loc[carry, "copies"] += int(mass[carry] >= size[carry] / 2)
                 else:
                     pdf.loc[carry, "mass"] = mass[carry]
+            if level == 0 and last:
+                copies = pdf["copies"].to_numpy(np.int64).copy()
+                balance(copies, size, float(pdf["target"].iat[0]), most)
+                pdf["copies"] = copies
             return pdf.astype({"doc_id": "Int64", "copies": "int64"})
 
         return work
 
     level, done = 0, None
     while True:
-        got = rows.groupBy("source", "bucket").applyInPandas(round_up_the_tree(level, buckets == 1), rows.schema)
+        got = rows.groupBy("source", "bucket").applyInPandas(round_up_the_tree(level), rows.schema)
         settled = F.col("mass").isNull() | F.isnan("mass")
         if buckets > 1:
             got = cut(got, f"mix-{level}")
         done = got.where(settled) if done is None else done.unionByName(got.where(settled))
         if buckets == 1:
             break
-        rows = got.where(~settled).withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("long"))
+        rows = got.where(~settled).withColumns({"bucket": F.floor(F.col("bucket") / FAN_IN).cast("long"), "buckets": F.ceil(F.col("buckets") / FAN_IN).cast("long")})
         level, buckets = level + 1, -(-buckets // FAN_IN)
     return done.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_key")
 
