@@ -52,7 +52,8 @@ def search(vectors: DataFrame, k: int = 10, query_modulus: int = 100, scale: int
 
     q = rows.where(is_query).groupBy("vec_id", "dim").agg(F.min("x").alias("x"))
     q = cut(packed(q, "q_blocks", "q").drop("q_blocks"), "queries")
-    v = cut(packed(rows, "v_blocks", "v"), "vectors").withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1))).drop("q_blocks")
+    files = min(10_000, max(1, int(blocks.agg(F.sum("v_blocks")).first()[0] or 1)))  # a block is a task's work, however few bytes it has
+    v = cut(packed(rows, "v_blocks", "v").repartition(files), "vectors").withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1))).drop("q_blocks")
     pairs = v.join(q, ["dim", "q"])
     columns = pairs.columns
 
