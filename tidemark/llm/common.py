@@ -53,7 +53,7 @@ def lower_words(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words; emptied when it has grown to `most` entries, so that its memory is bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

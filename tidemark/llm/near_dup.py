@@ -21,6 +21,11 @@ BASE, RATE, MOST = 1.001, 20.0, 65_535
 BAND, BANDS = 7, 48
 #: Candidates with a likelihood estimate below similarity - SLACK aren't verified: seven standard deviations.
 SLACK = 0.155
+#: Lowest bits of registers, in 64-bit words: unequal registers differ in them half the time. Of 320 bits 32 differ at a
+#: similarity of 0.8, with a deviation of 5.4; pairs across components with more than FEW_BITS differing (six deviations)
+#: are dropped before their shingles are looked at.
+BIT_WORDS, FEW_BITS = 5, 68
+WORDS = tuple(f"w{i}" for i in range(BIT_WORDS))
 GRID = np.linspace(0.0, 1.0, 101)
 
 
@@ -45,6 +50,11 @@ def bands(r: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def low_bits(r: np.ndarray) -> np.ndarray:
+    """BIT_WORDS words of the lowest bits of registers."""
+    return np.packbits((r[: 64 * BIT_WORDS] & 1).astype(np.uint8)).view(np.int64)
+
+
 def likely(na: np.ndarray, nb: np.ndarray, ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
     """Joint maximum-likelihood estimate of the Jaccard similarity from set sizes and how many registers are larger in
     the one, in the other, or equal, over a grid."""
@@ -64,25 +74,26 @@ def likely(na: np.ndarray, nb: np.ndarray, ra: np.ndarray, rb: np.ndarray) -> np
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if it is empty), bands, registers."""
+    """doc_id, n_shingles, key (of the set; null if it is empty), bands, registers, bits."""
 
     def work(batches):
         hashes = WordHashes()
         for b in batches:
-            n, keys, band, reg = [], [], [], []
-            for t in b.column(1):
-                s = shingle_set(hashes.of(lower_words(t.as_py())), k)
-                n.append(len(s))
-                if not len(s):
-                    keys.append(None), band.append(None), reg.append(None)
-                    continue
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                r = registers(s)
-                band.append(bands(r))
-                reg.append(r.tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(reg, pa.binary())], ["doc_id", "n_shingles", "key", "bands", "registers"])
-
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, key binary, bands array<long>, registers binary")
+            texts = b.column(1)
+            for i in range(0, b.num_rows, 500):
+                rows = []
+                for t in texts.slice(i, 500):
+                    s = shingle_set(hashes.of(lower_words(t.as_py())), k)
+                    if len(s):
+                        r = registers(s)
+                        rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(r), r.tobytes(), low_bits(r)))
+                    else:
+                        rows.append((0, None, None, None, None))
+                types = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 500), *columns], ["doc_id", "n_shingles", "key", "bands", "registers", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, key binary, bands array<long>, registers binary, bits array<long>")
 
 
 def near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -111,9 +122,10 @@ def whole_sets(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     def sets(batches):
         hashes = WordHashes()
         for t in batches:
-            got = [shingle_set(hashes.of(lower_words(x.as_py())), k) for x in t.column(1)]
-            right = [xxhash.xxh3_128_digest(s.tobytes()) == key for s, key in zip(got, t.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([t.column(0), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "s"]).filter(pa.array(right, pa.bool_()))
+            for i in range(0, t.num_rows, 500):
+                got = [shingle_set(hashes.of(lower_words(x.as_py())), k).tobytes() for x in t.column(1).slice(i, 500)]
+                right = [xxhash.xxh3_128_digest(s) == key for s, key in zip(got, t.column(2).slice(i, 500).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([t.column(0).slice(i, 500), pa.array(got, pa.binary())], ["id", "s"]).filter(pa.array(right, pa.bool_()))
 
     return cut(docs.select(F.col("doc_id").alias("rep"), "text").join(named, "rep").select("rep", "text", "key").mapInArrow(sets, "id long, s binary"), "sets")
 
@@ -164,21 +176,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     mixed = cut(placed.join(mixed, "bucket"), "mixed")
     whole = whole_sets(mixed.select("rep"), classes, docs, k)
     own = own_shingles(whole)
-    able = classes.select("rep", F.col("n_shingles").alias("n")).join(whole.select(F.col("id").alias("rep")), "rep", "left_semi").join(own.withColumnRenamed("id", "rep"), "rep", "left")
-    able = able.select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(100 * F.col("common") >= percent * F.col("n"))
+    able = classes.select("rep", F.col("n_shingles").alias("n"), *[F.col("bits")[i].alias(w) for i, w in enumerate(WORDS)]).join(whole.select(F.col("id").alias("rep")), "rep", "left_semi").join(own.withColumnRenamed("id", "rep"), "rep", "left")
+    able = able.select("rep", "n", *WORDS, (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")).where(100 * F.col("common") >= percent * F.col("n"))
     placed = cut(mixed.join(able, "rep"), "placed")
     beside = beside_first(placed.select("a", "rep").distinct(), whole)
     placed = placed.drop("n").join(beside, ["a", "rep"]).drop("a")
     placed = cut(placed, "placed-beside")
     main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent).distinct().join(star, ["a", "b"], "left_anti")
+    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent, WORDS, FEW_BITS).distinct().join(star, ["a", "b"], "left_anti")
     more = verified(near_enough(cut(rest, "rest"), classes, percent), whole, percent)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = reps.join(roots, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
-    alone = F.col("key").isNull() | F.col("doc_id").isNull()
-    out = out.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("component_id", "class_id")})
+    alone = F.col("key").isNull() | F.col("doc_id").isNull()  # apart from the join, where nulls would meet in one task
+    out = rows.where(~alone).join(named, "key").select("doc_id", "n_shingles", "component_id", "class_id")
+    out = out.unionByName(rows.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id")
 
 
