@@ -125,23 +125,34 @@ def all_lines(docs: DataFrame, k: int) -> DataFrame:
     def work(batches):
         seen = Seen()
         for b in batches:
-            ids, texts, hashes = (b.column(c).to_pylist() for c in range(3))
+            texts = b.column(1).to_pylist()
             for i, j in slices(texts, 200_000):
-                rows, fresh = [], []
+                count, line, keys, fresh, at = [], [], [], [], []
                 for n in range(i, j):
                     found = normal_lines(texts[n])
-                    rows.append((ids[n], hashes[n], -1, None, len(found)))
-                    for at, x in found:
+                    count.append(len(found))
+                    for number, x in found:
                         key = line_key(x)
                         if seen.new(key):
-                            fresh.append((len(rows), x))
-                        rows.append((ids[n], hashes[n], at, key, node_of(key)))
-                band = [None] * len(rows)
-                if fresh:
-                    for (at, _), v in zip(fresh, bands(signatures([x for _, x in fresh], k)), strict=True):
-                        band[at] = v
-                cols = zip(list(zip(*rows, strict=True)), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()), strict=True)
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in cols], pa.array(band, pa.list_(pa.int64()))], ["doc_id", "doc", "line", "key", "node", "bands"])
+                            at.append(len(keys))
+                            fresh.append(x)
+                        line.append(number)
+                        keys.append(key)
+                raw = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+                of = pa.array(np.concatenate((np.repeat(np.arange(i, j), count), np.arange(i, j))))
+                docs_only = pa.nulls(j - i)
+                band = np.full(len(keys), -1)
+                band[at] = np.arange(len(at))
+                flat = bands(signatures(fresh, k)) if fresh else np.zeros((0, BANDS), np.int64)
+                every = pa.FixedSizeListArray.from_arrays(pa.array(flat.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
+                picked = every.take(pa.array(np.where(band < 0, 0, band), mask=band < 0)) if len(flat) else pa.nulls(len(keys), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column(0).take(of), b.column(2).take(of), pa.array(np.concatenate((np.array(line, np.int32), np.full(j - i, -1, np.int32)))),
+                        pa.concat_arrays([pa.array(keys, pa.binary()), docs_only.cast(pa.binary())]), pa.array(np.concatenate((raw[:, 0], np.array(count, np.int64)))), pa.concat_arrays([picked, docs_only.cast(pa.list_(pa.int64()))]),
+                    ],
+                    ["doc_id", "doc", "line", "key", "node", "bands"],
+                )
 
     return docs.select("doc_id", "text", "doc").mapInArrow(work, "doc_id long, doc long, line int, key binary, node long, bands array<long>")
 
@@ -242,11 +253,20 @@ def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[Dat
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more), "line-components"), "line-roots").withColumnRenamed("node", "of")
 
+    # Lines that stand alone can't go; of the others, which a sieve picks out, equal ones meet by their whole key.
     lines_only = lines.where("line >= 0").select("doc_id", "doc", "line", "key", "node")
+    several = lines_only.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").unionByName(roots.select(F.col("of").alias("node")))
+    shared = lines.sparkSession.sparkContext.broadcast(Sieve(cut(several.distinct(), "line-several"), "node"))
+
+    def sieved(batches):
+        for b in batches:
+            yield b.filter(pa.array(shared.value.may_have(b.column(4).to_numpy())))
+
+    lines_only = lines_only.mapInArrow(sieved, lines_only.schema)
     owner = lines_only.groupBy("key", "node").agg(F.min(F.struct("doc_id", "doc", "line")).alias("first"))
     owner = owner.join(roots, F.col("node") == F.col("of"), "left").select("key", "first", "root")
     best = owner.where("root is not null").groupBy("root").agg(F.min("first").alias("best"))
-    keeper = owner.join(best, "root", "left").select("key", F.coalesce("best", "first").alias("keeper"))
+    keeper = owner.where("root is not null").join(best, "root").select("key", F.col("best").alias("keeper")).unionByName(owner.where("root is null").select("key", F.col("first").alias("keeper")))
     gone = lines_only.join(keeper, "key").where(~F.struct("doc_id", "doc", "line").eqNullSafe(F.col("keeper")))
     return gone.groupBy("doc_id", "doc").agg(F.array_sort(F.collect_set("line")).alias("dropped")), lines
 
