@@ -130,8 +130,17 @@ def learn(docs: DataFrame, sample_rows: int) -> Model:
     of that documented number of rows reach the driver."""
     n = docs.select("lang").distinct().count()
     each = min(1000, max(2, sample_rows // max(n, 1)))
-    low = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = docs.withColumn("h", F.xxhash64("doc_id", "text")).withColumn("r", F.row_number().over(low)).where(F.col("r") <= each).select("lang", "text")
+    hashed = docs.withColumn("h", F.xxhash64("doc_id", "text"))
+
+    def lowest(df: DataFrame) -> DataFrame:
+        """Each task keeps `each` rows a language before the shuffle."""
+        w = Window.partitionBy("lang").orderBy("h", "doc_id")
+        return df.withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).drop("r")
+
+    # Hashes are chosen first, without texts; texts of the chosen hashes (sample_rows at most) follow. Equal rows share a
+    # hash, so the choice is made once more among them.
+    hashes = lowest(hashed.select("lang", "h", "doc_id")).select("h").distinct()
+    picked = lowest(hashed.join(F.broadcast(hashes), "h", "left_semi")).select("lang", "text")
 
     def work(batches):
         for b in batches:
