@@ -219,3 +219,22 @@ def _more() -> dict[str, str]:
 
 
 SQL |= _more()
+
+
+def _reports() -> dict[str, str]:
+    tests = {
+        "claim_events_not_null_network": "SELECT 1 FROM cl WHERE network IS NULL", "claim_events_not_null_amount_g": "SELECT 1 FROM cl WHERE cents IS NULL", "claim_events_unique_key": "SELECT 1 FROM cl GROUP BY network, tx_hash, log_index HAVING count(*) > 1",
+        "claim_events_accepted_network": "SELECT 1 FROM cl WHERE network NOT IN ('celo', 'xdc')", "claim_events_non_negative_amount": "SELECT 1 FROM cl WHERE cents < 0", "claim_events_closed_days": "SELECT 1 FROM cl WHERE block_timestamp >= DATE '2024-01-31'",
+        "invite_signups_accepted_type": "SELECT 1 FROM su WHERE signup_type NOT IN ('no_code', 'campaign', 'referral')", "invite_payouts_reconcile": "SELECT 1 FROM po WHERE total_cents IS DISTINCT FROM invitee_cents + coalesce(inviter_cents, 0)",
+        "daily_claim_activity_unique_day": "SELECT 1 FROM (SELECT DISTINCT CAST(block_timestamp AS DATE) AS d, network FROM cl) GROUP BY d, network HAVING count(*) > 1", "invitee_unique_address": "SELECT 1 FROM li GROUP BY invitee_address HAVING count(*) > 1",
+        "payouts_have_signups": "SELECT DISTINCT invitee_address FROM po WHERE invitee_address NOT IN (SELECT user_address FROM su)",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS test, count(*) AS failures FROM ({q})" for n, q in tests.items())
+    warned = "SELECT m, count(*) AS w FROM (SELECT 'xdc_usd_claimed_1d' AS m, xm AS v, xp FROM val UNION ALL SELECT 'xdc_p2p_usd_amount', xa, xp FROM val) WHERE v IS NOT NULL AND (xp IS NULL OR xp = 0) GROUP BY 1"
+    fixed = "'run' AS run_id, DATE '2024-01-31' AS run_date, TIMESTAMP '2024-01-31' AS started_at"
+    one = f"SELECT {fixed}, 'ALL' AS adapter, chain, metric_key, CASE WHEN w > 0 THEN 'warn' ELSE 'ok' END AS status, n AS records_written, CAST(30 AS BIGINT) AS records_expected, coalesce(w || ' days without price', '') AS details, CAST(0 AS BIGINT) AS elapsed_ms FROM (SELECT chain, metric_key, count(*) AS n FROM ({_BUILD}) GROUP BY ALL) LEFT JOIN ({warned}) ON m = metric_key"
+    total = f"SELECT {fixed}, 'SUMMARY', 'ALL', 'ALL', CASE WHEN count_if(status = 'warn') > 0 THEN 'warn' ELSE 'ok' END, CAST(sum(records_written) AS BIGINT), CAST(sum(records_expected) AS BIGINT), count(*) || ' metrics, 0 errors, ' || CAST(count_if(status = 'warn') AS BIGINT) || ' warnings', CAST(0 AS BIGINT) FROM one"
+    return {"dq_tests": sql(f"SELECT test, failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({rows})", "li"), "health": sql(f"SELECT * FROM one UNION ALL {total}", "f_ret", more={"one": one})}
+
+
+SQL |= _reports()

@@ -104,7 +104,7 @@ def health(s: SparkSession, d: str) -> DataFrame:
     )
     from tidemark.sources.sinks import with_summary
 
-    return with_summary(out)
+    return with_summary(out).withColumn("started_at", F.col("started_at").cast("timestamp_ntz"))
 
 
 def p2p(s: SparkSession, d: str) -> DataFrame:
