@@ -71,6 +71,8 @@ def test_urls(spark):
     assert one(spark, urls.campaign_parts(F.col("x")), "a-b-2024_02-n-m").asDict() == {"initiative": "a", "goal": "b", "month": "2024_02", "name": "n-m"}
     df = spark.createDataFrame([("Twitter",), ("myspace",), (None,)], "source string")
     assert urls.unknown_values(df, "source").count() == 2
+    own = urls.vocabulary_of({"sources": [{"value": "myspace", "label": "M"}], "version": 1})
+    assert own == {"source": ["myspace"]} and urls.unknown_values(df, "source", own["source"]).count() == 2
 
 
 def test_event_topics():

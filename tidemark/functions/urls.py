@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Vocabularies of a campaign link (fixed values of this engine; pass your own where they differ).
+#: Vocabularies of a campaign link (fixed values); vocabulary_of() reads those of a builder's own configuration.
 VOCABULARY = {
-    "source": ["discord", "email", "facebook", "instagram", "linkedin", "telegram", "twitter", "website", "youtube"],
-    "medium": ["banner", "bio", "chat", "email", "post", "referral", "social", "story", "video"],
-    "goal": ["activation", "awareness", "engagement", "education", "retention", "signup"],
+    "source": ["twitter", "telegram", "linkedin", "facebook", "discord", "email", "community"],
+    "medium": ["social", "paid_social", "email", "referral", "partner", "cpc", "banner", "push", "sms", "in_app"],
+    "initiative": ["ubi", "builders", "governance", "general"],
+    "goal": ["awareness", "acquisition", "activation", "retention", "revenue"],
 }
+
+
+def vocabulary_of(config: dict) -> dict[str, list[str]]:
+    """Vocabularies of a configuration such as {"sources": [{"value": "email", "label": "Email"}], ...}."""
+    return {k.removesuffix("s"): [v["value"] for v in values] for k, values in config.items() if isinstance(values, list)}
+
+
 NAME = r"^[a-z0-9_]*$"
 
 

@@ -21,7 +21,7 @@ class Metric:
 
 def _table(source: str, columns: dict[str, tuple[str, bool, int]]) -> list[Metric]:
     """Metrics that are columns of a daily plan."""
-    return [Metric(f"celo_{k}", "Dune", ("CELO",), agg, dp, {"source": source, "column": c}) for k, (c, agg, dp) in columns.items()]
+    return [Metric(f"celo_{k}", "Table", ("CELO",), agg, dp, {"source": source, "column": c}) for k, (c, agg, dp) in columns.items()]
 
 
 def _entity(kind: str, metrics: dict[str, tuple[str, bool, int, int, int]]) -> list[Metric]:
