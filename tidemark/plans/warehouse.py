@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.amounts import count_times, scale_number, scale_raw
+from tidemark.functions.amounts import count_times, scale_raw
 from tidemark.functions.dates import closed_as_of, closed_day, whole_days
 from tidemark.operators.keyed import first_by
 from tidemark.operators.series import cumulative_distinct, over_days
@@ -143,7 +143,3 @@ def invite_funnel(lifecycle: DataFrame, as_of: date) -> DataFrame:
     rows = one.select(F.expr("stack(6, " + ", ".join(f"{i + 1}, '{x}', n{i + 1}" for i, x in enumerate(FUNNEL)) + ") as (stage_order, stage_label, user_count)"))
     top = F.max("user_count").over(Window.partitionBy())
     return rows.select(F.lit(closed_as_of(as_of)).cast("timestamp_ntz").alias("snapshot_timestamp"), F.lit("invite_funnel").alias("funnel_name"), "stage_order", "stage_label", "user_count", F.round(F.try_divide(F.col("user_count").cast("double"), top) * 100, 2).alias("pct_of_top"))
-
-
-def with_contract_amounts(transfers: DataFrame, decimals: int) -> DataFrame:
-    return transfers.withColumn("amount_g", scale_number(F.col("value"), decimals))
