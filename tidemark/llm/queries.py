@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import html_text, language, line_dedup, lm_score, mixing, near_dup, packing, pii, quality, topk
 from .common import table
