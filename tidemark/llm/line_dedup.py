@@ -124,7 +124,7 @@ def all_lines(docs: DataFrame, k: int) -> DataFrame:
 
     def work(batches):
         seen = Seen()
-        for b in batches:
+        for b in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
             texts = b.column(1).to_pylist()
             for i, j in slices(texts, 200_000):
                 count, line, keys, fresh, at = [], [], [], [], []
@@ -178,7 +178,7 @@ def member_texts(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 
     def work(batches):
         seen = Seen()
-        for b in batches:
+        for b in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
             texts = b.column(0).to_pylist()
             for i, j in slices(texts, 200_000):
                 found = [(node_of(key), x) for t in texts[i:j] for _, x in normal_lines(t) if seen.new(key := line_key(x))]
@@ -290,7 +290,7 @@ def without_duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> D
     at, which = names.index("text"), len(names)
 
     def work(batches):
-        for b in batches:
+        for b in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
             texts, keep = b.column(at).to_pylist(), []
             for i, d in enumerate(b.column(which).to_pylist()):
                 keep.append(True)
