@@ -21,6 +21,27 @@ def test_fast_ids_equal_the_tokenizer():
     assert ids.encode(s).tolist() == ids.whole.encode(s, add_special_tokens=False).ids
 
 
+def test_fast_ids_of_every_code_point():
+    ids = packing.ids_of(tokenizer_path())
+    parts = ["\n".join(f"a{c}1 {c}{c}b!{c}  {c}." for c in map(chr, range(k, k + 0x800))) for k in range(0, 0x110000, 0x800) if k != 0xD800]
+    for s, want in zip(parts, ids.whole.encode_batch(parts, add_special_tokens=False), strict=True):
+        assert ids.encode(s).tolist() == want.ids, hex(ord(s[1]))
+
+
+@pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 1_200_000, " \n" * 600_000])
+def test_very_long_blank_runs(run):
+    ids = packing.ids_of(tokenizer_path())
+    s = f"before{run}after"
+    assert ids.encode(s).tolist() == ids.whole.encode(s, add_special_tokens=False).ids
+
+
+def test_one_very_long_blank_run_keeps_every_row(spark):
+    rows = [(1, "one"), (2, "a" + " " * 1_200_000 + "b"), (3, "three")]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path(), window=1 << 16).collect()
+    ids = packing.ids_of(tokenizer_path()).whole
+    assert {p["doc_id"]: p["doc_tokens"] for p in pieces} == {i: len(ids.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows}
+
+
 @pytest.mark.parametrize("window", [16, 2048])
 def test_round_trip(spark, window):
     df = documents(spark)
