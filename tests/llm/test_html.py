@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark.llm.html_text import extract, main_text
 
 LONG = "the cat is on the mat and it was in the house of the king. " * 5
@@ -16,6 +18,32 @@ def test_unmarked_page_goes_by_block_rules():
     assert extract(page).split("\n") == ["Title", LONG.strip(), "Short one.", LONG.strip()]
 
 
+OTHER = [
+    "Кошка сидела на ковре в доме короля, и никто не знал, откуда она пришла и зачем осталась там до самого утра. " * 3,
+    "Kot siedział na dywanie w domu króla i nikt nie wiedział, skąd przyszedł ani dlaczego został tam aż do rana. " * 3,
+    "Katten satt på mattan hos kungen, och ingen visste varifrån den kom eller varför den stannade kvar hela natten. " * 3,
+    "Kedi kralın evindeki halının üzerinde oturuyordu ve kimse nereden geldiğini ya da neden kaldığını bilmiyordu. " * 3,
+    "猫坐在国王家的地毯上，没有人知道它从哪里来，也没有人知道它为什么一直留到天亮才肯离开这座房子。" * 2,
+]
+
+
+@pytest.mark.parametrize("text", OTHER)
+def test_pages_in_languages_without_stop_words(text):
+    menu = '<div><a href="1">' + text[:80] + '</a> <a href="2">' + text[80:160] + "</a></div>"
+    page = f'<body><div class="menu">{text}</div>{menu}<h1>{text[:20]}</h1><p>{text}</p><p>{text[:30]}</p><p>{text}</p><p>&copy; {text}</p></body>'
+    assert extract(page).split("\n") == [text[:20].strip(), text.strip(), text[:30].strip(), text.strip()]
+
+
+def test_one_english_paragraph_does_not_judge_another_language():
+    for text in OTHER[:2]:
+        page = f"<body><p>{text}</p><p>{LONG}</p><p>{text}</p><p>{text}</p><p>{text}</p></body>"
+        assert extract(page).split("\n") == [text.strip(), LONG.strip(), *[text.strip()] * 3]
+
+
+def test_keywords_are_bad_where_the_language_has_a_list():
+    assert extract(f"<body><p>{LONG}</p><p>{'shoes hats coats socks gloves ' * 10}</p><p>{LONG}</p></body>").split("\n") == [LONG.strip()] * 2
+
+
 def test_broken_and_empty_markup():
     assert extract(None) == extract("") == extract("<") == ""
     assert extract("<article><p>a<p>b <i>c</i></article") == "a\nb c"

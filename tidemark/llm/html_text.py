@@ -40,6 +40,11 @@ STOP_WORDS = frozenset(
 )
 
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.2, 0.3, 0.33
+#: The share of a page's longer text that must reach STOP_LOW for its language to count as one with a list.
+LISTED = 0.25
+#: Scripts in which a character says about as much as WIDTH letters.
+WIDE, WIDTH = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]"), 3
+LATIN = re.compile("[a-z\u00df-\u024f]")
 
 
 class Block:
@@ -141,11 +146,23 @@ def stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in ws) / len(ws) if ws else 0.0
 
 
+def length(text: str) -> int:
+    """Characters, where those of wide scripts count WIDTH times."""
+    return len(text) if text.isascii() else len(text) + (WIDTH - 1) * len(WIDE.findall(text))
+
+
+def latin(text: str) -> bool:
+    """Whether most letters are Latin: stop words say nothing about others."""
+    return text.isascii() or 2 * len(LATIN.findall(text.lower())) >= sum(map(len, WORDS.findall(text)))
+
+
 def extract(page: str | None) -> str:
     """The main text: its blocks in page order, joined by line feeds.
 
     First pass: a block in a menu, footer, form, advert and the like, or full of links, is bad; a long block with many
-    stop words is good; others are ambiguous. Second pass: each ambiguous block takes the label of its nearest decided
+    stop words is good, one with few is bad; others are ambiguous. Stop words are known for some languages in Latin script:
+    a block in another script, or on a page of whose longer text less than LISTED reaches STOP_LOW, is decided by links and
+    length alone, so that long lists of keywords pass there. Second pass: each ambiguous block takes the label of its nearest decided
     neighbours outside of menus and the like, in the same part of the page (in or out of the article); if they differ it is
     bad outside of an article, unless it heads a good block. Where a page marks its article, its blocks are decided by the two passes
     among themselves and no block outside of it is good."""
@@ -153,12 +170,18 @@ def extract(page: str | None) -> str:
         return ""
     blocks = blocks_of(page)
     marked = any(b.article and not b.boiler for b in blocks)
-    for b in blocks:
-        density, links = stop_density(b.text), b.linked / len(b.text)
+    densities = [stop_density(b.text) for b in blocks]
+    longer = [(len(b.text), d) for b, d in zip(blocks, densities, strict=True) if not b.boiler and len(b.text) >= SHORT and b.linked <= LINKS * len(b.text)]
+    known = sum(n for n, d in longer if d >= STOP_LOW) >= LISTED * sum(n for n, _ in longer)
+    for b, density in zip(blocks, densities, strict=True):
+        links = b.linked / len(b.text)
         if b.boiler or marked and not b.article or links > LINKS and (b.listed or not b.article) or not b.article and "\N{COPYRIGHT SIGN}" in b.text:
             b.label = "bad"
         elif len(b.text) >= SHORT and (density >= STOP_HIGH or len(b.text) > LONG and density >= STOP_LOW):
             b.label = "good"
+        elif not (known and latin(b.text)):
+            if length(b.text) >= SHORT and links <= LINKS:
+                b.label = "good"
         elif len(b.text) >= LONG and density < STOP_LOW and not b.article:
             b.label = "bad"
     decided = [b.label for b in blocks]
