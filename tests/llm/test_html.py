@@ -44,6 +44,23 @@ def test_keywords_are_bad_where_the_language_has_a_list():
     assert extract(f"<body><p>{LONG}</p><p>{'shoes hats coats socks gloves ' * 10}</p><p>{LONG}</p></body>").split("\n") == [LONG.strip()] * 2
 
 
+def test_text_beside_teaser_articles_is_kept():
+    page = f"<body><div><h1>Head</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p></div><section><article><h3>Teaser</h3><p>A short teaser.</p></article></section></body>"
+    assert extract(page).split("\n") == ["Head", LONG.strip(), "Short one.", LONG.strip(), "Teaser", "A short teaser."]
+
+
+def test_long_text_beside_an_article_is_judged_too():
+    page = f"<body><div>Site name</div><article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article><div>{LONG}</div><div>Write to us at the office of the house.</div></body>"
+    assert extract(page).split("\n") == ["Head", LONG.strip(), LONG.strip(), LONG.strip()]
+
+
+def test_inside_an_article_both_passes_decide():
+    words = "shoes hats coats socks gloves " * 10
+    links = '<ul><li><a href="1">one thing</a></li></ul>'
+    page = f"<article><h1>Head</h1><p>{LONG}</p><p>{words}</p><p>Short.</p><p>{LONG}</p>{links}<p>More offers</p>{links}</article>"
+    assert extract(page).split("\n") == ["Head", LONG.strip(), words.strip(), "Short.", LONG.strip()]
+
+
 def test_broken_and_empty_markup():
     assert extract(None) == extract("") == extract("<") == ""
     assert extract("<article><p>a<p>b <i>c</i></article") == "a\nb c"

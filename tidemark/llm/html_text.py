@@ -40,6 +40,8 @@ STOP_WORDS = frozenset(
 )
 
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.2, 0.3, 0.33
+#: Most links of a good block beside an article.
+FEW_LINKS = 0.1
 #: The share of a page's longer text that must reach STOP_LOW for its language to count as one with a list.
 LISTED = 0.25
 #: Scripts in which a character says about as much as WIDTH letters.
@@ -162,28 +164,45 @@ def extract(page: str | None) -> str:
     First pass: a block in a menu, footer, form, advert and the like, or full of links, is bad; a long block with many
     stop words is good, one with few is bad; others are ambiguous. Stop words are known for some languages in Latin script:
     a block in another script, or on a page of whose longer text less than LISTED reaches STOP_LOW, is decided by links and
-    length alone, so that long lists of keywords pass there. Second pass: each ambiguous block takes the label of its nearest decided
-    neighbours outside of menus and the like, in the same part of the page (in or out of the article); if they differ it is
-    bad outside of an article, unless it heads a good block. Where a page marks its article, its blocks are decided by the two passes
-    among themselves and no block outside of it is good."""
+    length alone, so that long lists of keywords pass there. Second pass: each ambiguous block takes the label of its
+    nearest decided neighbours outside of menus and the like, in the same part of the page (in or out of the article); if
+    they differ it is bad outside of an article, unless it heads a good block.
+
+    An article mark is a prior for both passes. Inside, few stop words aren't held against a block (lists, code and
+    names are text there), and an ambiguous one is bad only if it is full of links or short, and between bad ones. Outside
+    of the articles of a page, only long blocks with many stop words and nearly no links are good and ambiguous ones only
+    between two good ones, unless the first pass finds more good text there than the articles hold (teasers): then the rules
+    of an unmarked page hold there. A notice or advert inside an article that isn't labelled and has few links stays."""
     if not page:
         return ""
     blocks = blocks_of(page)
-    marked = any(b.article and not b.boiler for b in blocks)
     densities = [stop_density(b.text) for b in blocks]
     longer = [(len(b.text), d) for b, d in zip(blocks, densities, strict=True) if not b.boiler and len(b.text) >= SHORT and b.linked <= LINKS * len(b.text)]
     known = sum(n for n, d in longer if d >= STOP_LOW) >= LISTED * sum(n for n, _ in longer)
+    inside = outside = 0
+    strict = []  # good outside of an article that the mark of the page is to be trusted for
     for b, density in zip(blocks, densities, strict=True):
         links = b.linked / len(b.text)
-        if b.boiler or marked and not b.article or links > LINKS and (b.listed or not b.article) or not b.article and "\N{COPYRIGHT SIGN}" in b.text:
+        firm = False
+        if b.boiler or links > LINKS and (b.listed or not b.article) or not b.article and "\N{COPYRIGHT SIGN}" in b.text:
             b.label = "bad"
         elif len(b.text) >= SHORT and (density >= STOP_HIGH or len(b.text) > LONG and density >= STOP_LOW):
-            b.label = "good"
+            b.label, firm = "good", len(b.text) >= LONG and density >= STOP_HIGH
         elif not (known and latin(b.text)):
             if length(b.text) >= SHORT and links <= LINKS:
-                b.label = "good"
+                b.label, firm = "good", length(b.text) >= LONG
         elif len(b.text) >= LONG and density < STOP_LOW and not b.article:
             b.label = "bad"
+        strict.append(firm and links <= FEW_LINKS)
+        if b.article:
+            inside += len(b.text) * (b.label != "bad")
+        else:
+            outside += len(b.text) * (b.label == "good")
+    held = inside >= max(outside, 1)
+    if held:
+        for b, firm in zip(blocks, strict, strict=True):
+            if not b.article and not firm:
+                b.label = "bad" if length(b.text) >= SHORT else b.label
     decided = [b.label for b in blocks]
 
     def nearest(i: int, step: int) -> str:
@@ -198,9 +217,12 @@ def extract(page: str | None) -> str:
         if not decided[i]:
             before, after = nearest(i, -1), nearest(i, 1)
             found = {before, after} - {""}
-            b.label = found.pop() if len(found) == 1 else "good" if b.article else after if b.heading and after else "bad"
-            if b.article and b.label == "bad" and b.linked <= LINKS * len(b.text):
-                b.label = "good"
+            if b.article:
+                b.label = "bad" if before == after == "bad" and len(b.text) < SHORT or found == {"bad"} and b.linked > LINKS * len(b.text) else "good"
+            elif held:
+                b.label = "good" if before == after == "good" or b.heading and after == "good" else "bad"
+            else:
+                b.label = found.pop() if len(found) == 1 else after if b.heading and after else "bad"
     return "\n".join(b.text for b in blocks if b.label == "good")
 
 
