@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 from helpers import Sets, documents, empty, texts
 
 from tidemark.llm import line_dedup
@@ -67,3 +68,17 @@ def test_signatures_agree_as_often_as_sets(spark):
     sets = [{s[i : i + 8] for i in range(393)} for s in (a, b)]
     assert abs((x == y).mean() - len(sets[0] & sets[1]) / len(sets[0] | sets[1])) < 0.2
     assert (line_dedup.signatures(["ab", "x", a], 8)[2] == x).all()
+
+
+def test_short_lines_whose_bits_differ_much(spark):
+    rng, pairs = random.Random(3), []
+    for _ in range(20):
+        b = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(1000)]  # 5 shingles, 4 of them in a
+        x, y = (line_dedup.signatures(lines, 8) for lines in ([s[:11] for s in b], b))
+        differ = sum(np.bitwise_count(p ^ q) for p, q in zip(line_dedup.low_bits(x).T.view(np.uint64), line_dedup.low_bits(y).T.view(np.uint64), strict=True))
+        meet = (line_dedup.bands(x) == line_dedup.bands(y)).any(1)
+        pairs += [b[i] for i in np.flatnonzero(meet & (differ > line_dedup.FEW_BITS))]
+    assert len(pairs) > 5
+    rows = [(i, f"{s[:11]}\n{s}") for i, s in enumerate(pairs)]
+    got = {r["doc_id"]: r["dropped"] for r in line_dedup.line_counts(documents(spark, rows)).collect()}
+    assert got == {i: "1" for i in range(len(rows))}

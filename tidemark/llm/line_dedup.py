@@ -16,8 +16,9 @@ from .pairs import across, beside_first, verified, with_centre
 BAND, BANDS = 4, 14
 BINS = BAND * BANDS
 #: Four bits of each bin, in four words of BINS bits. At a similarity of 0.8, 22 of the 224 differ, with a deviation of 7;
-#: pairs with more than FEW_BITS differing (five deviations) aren't verified.
-BIT_WORDS, FEW_BITS = 4, 57
+#: pairs with more than FEW_BITS differing (five deviations) aren't verified. Lines of fewer than FEW shingles fill few
+#: bins, which then aren't independent: their pairs are verified whatever their bits.
+BIT_WORDS, FEW_BITS, FEW = 4, 57, 20
 WORDS = tuple(f"w{i}" for i in range(BIT_WORDS))
 
 
@@ -96,6 +97,11 @@ def low_bits(values: np.ndarray) -> np.ndarray:
     return np.stack([(((values >> np.uint64(i)) & np.uint64(1)) * place).sum(1, dtype=np.uint64) for i in range(BIT_WORDS)], axis=1).view(np.int64)
 
 
+def few_shingles(values: np.ndarray) -> np.ndarray:
+    """Whether signatures have fewer than FEW filled bins, as all lines of fewer shingles have."""
+    return (np.diff(np.sort(values, axis=1), axis=1) != 0).sum(1) + 1 < FEW
+
+
 class Seen(set):
     """Keys that a task has met; emptied at `most`, which only costs that some lines are looked at twice."""
 
@@ -173,7 +179,7 @@ def members_of(lines: DataFrame, first: DataFrame) -> DataFrame:
 
 
 def member_texts(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """id, s (normal form) and sketch bits of the lines in nodes."""
+    """id, s (normal form), sketch bits and few (see few_shingles) of the lines in nodes."""
     shared = docs.sparkSession.sparkContext.broadcast(Sieve(nodes, "node"))
 
     def work(batches):
@@ -187,18 +193,19 @@ def member_texts(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                     ok = np.flatnonzero(shared.value.may_have(node))
                     if len(ok):
                         lines = [found[x][1] for x in ok]
-                        bits = low_bits(signatures(lines, k))
-                        yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(lines, pa.string()), *[pa.array(np.ascontiguousarray(bits[:, w])) for w in range(BIT_WORDS)]], ["id", "s", *WORDS])
+                        values = signatures(lines, k)
+                        bits = low_bits(values)
+                        yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(lines, pa.string()), *[pa.array(np.ascontiguousarray(bits[:, w])) for w in range(BIT_WORDS)], pa.array(few_shingles(values))], ["id", "s", *WORDS, "few"])
 
-    rows = docs.select("text").mapInArrow(work, "id long, s string, " + ", ".join(f"{w} long" for w in WORDS))
+    rows = docs.select("text").mapInArrow(work, "id long, s string, " + ", ".join(f"{w} long" for w in WORDS) + ", few boolean")
     return cut(rows.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi").dropDuplicates(["id"]), "line-texts")
 
 
 def near_enough(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketch bits allow for a link."""
-    a, b = (texts.select(F.col("id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in WORDS]) for c in "ab")
+    """The pairs (a, b) whose sketch bits allow for a link, and those of lines with few shingles."""
+    a, b = (texts.select(F.col("id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in (*WORDS, "few")]) for c in "ab")
     differ = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WORDS), F.lit(0))
-    return pairs.join(a, "a").join(b, "b").where(differ <= FEW_BITS).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where((differ <= FEW_BITS) | F.col("a_few") | F.col("b_few")).select("a", "b")
 
 
 def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -212,7 +219,7 @@ def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[Dat
     shuffle, and buckets with one node go. 2. A second pass fetches the texts of the others; bounded sieves keep all else
     out of the shuffles. 3. Each node of a bucket is paired with its centre; sketch bits, then whole shingle sets
     decide. 4. Components. 5. Pairs across the components of a bucket are decided too, after exact bounds and sketch
-    bits have ruled out what can't be linked, and components formed anew. 6. Lines of equal normal form share a key; the
+    bits have ruled out what can't be linked, and components formed anew; bits decide nothing for lines of few shingles. 6. Lines of equal normal form share a key; the
     first of a component's keys stays. No step gathers a group in one task: minima are combined first, and joins have the
     small side unique by key.
 
@@ -245,10 +252,10 @@ def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[Dat
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
     mixed = cut(placed.join(mixed, "bucket"), "line-mixed")
     beside = beside_first(mixed.select("a", "rep").distinct(), texts, load)
-    bits = texts.select(F.col("id").alias("rep"), *WORDS)
+    bits = texts.select(F.col("id").alias("rep"), *WORDS, "few")
     placed = cut(mixed.join(beside.withColumn("common", F.col("n")), ["a", "rep"]).join(bits, "rep").drop("a"), "line-placed")
     main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent, WORDS, FEW_BITS).distinct().join(star, ["a", "b"], "left_anti")
+    rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent, WORDS, FEW_BITS, "few").distinct().join(star, ["a", "b"], "left_anti")
     more = verified(cut(rest, "line-rest"), texts, percent, load)
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more), "line-components"), "line-roots").withColumnRenamed("node", "of")

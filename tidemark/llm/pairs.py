@@ -67,10 +67,10 @@ def beside_first(pairs: DataFrame, whole: DataFrame, load=from_bytes) -> DataFra
     return pairs.join(x, "a").join(y, "rep").select("a", "rep", "s_a", "s_rep").mapInArrow(compare, "a long, rep long, n long, hits array<long>, loose long")
 
 
-def across(some: DataFrame, all_: DataFrame, percent: int, words: tuple[str, ...] = (), most: int = 0) -> DataFrame:
+def across(some: DataFrame, all_: DataFrame, percent: int, words: tuple[str, ...] = (), most: int = 0, free: str = "") -> DataFrame:
     """Pairs (a, b) of a bucket in different components that can be linked, by bounds on what they have in common:
     `common` of each (its size, or less), and the bits of beside_first(). Where `words` names columns of sketch bits, at
-    most `most` of these may differ. The one side holds the members outside of the bucket's largest component, so that a
+    most `most` of these may differ, unless the column `free` is true on either side. The one side holds the members outside of the bucket's largest component, so that a
     large group costs a comparison for each of them only."""
     x, y = some.select("bucket", *[F.col(c).alias(f"x_{c}") for c in all_.columns if c != "bucket"]), all_
 
@@ -80,6 +80,7 @@ def across(some: DataFrame, all_: DataFrame, percent: int, words: tuple[str, ...
     both = F.aggregate(F.zip_with("x_hits", "hits", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, v: t + v)
     near = (F.col("x_root") != F.col("root")) & enough(F.least("x_common", "common"))
     if words:
-        near &= sum((F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(w))) for w in words), F.lit(0)) <= most
+        alike = sum((F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(w))) for w in words), F.lit(0)) <= most
+        near &= alike | F.col(f"x_{free}") | F.col(free) if free else alike
     near &= enough(both + F.least("x_loose", "loose"))
     return x.join(y, (x["bucket"] == y["bucket"]) & near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
