@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WORD, cut
 
@@ -15,71 +18,73 @@ FAN_IN = 32
 BROADCAST_SOURCES = 10_000
 
 
-def targets(sizes: list[int], weights: tuple[int, ...], share: tuple[int, int], most: int) -> list[float]:
-    """Targets of the sources, in order: the weights repeat along the sources and share share[0]/share[1] of all sizes; a
-    target stops at `most` times its source's size and the excess is shared anew by weight."""
-    w = [weights[i % len(weights)] for i in range(len(sizes))]
-    out, open_ = [0.0] * len(sizes), [i for i, n in enumerate(sizes) if n > 0]
-    for i, n in enumerate(sizes):
-        out[i] = float(most * n) if i not in set(open_) and n else 0.0
-    left = share[0] * sum(sizes)  # in units of 1 / share[1]
-    while open_:
-        total = sum(w[i] for i in open_)
-        full = [i for i in open_ if left * w[i] > most * sizes[i] * share[1] * total]
-        if not full:
-            for i in open_:
-                out[i] = left * w[i] / (share[1] * total)
+def ranked(sums: DataFrame) -> DataFrame:
+    """sums with place, the number of its source by code point, null last, from 0: rows are sorted by ranges, and a range
+    knows only how many rows the ranges before it have."""
+    order = F.col("source").asc_nulls_last()
+    ranges = cut(sums.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "source-ranges")
+    before, n = [], 0
+    for r in ranges.groupBy("range").count().orderBy("range").collect():  # one row a partition
+        before.append((r["range"], n))
+        n += r["count"]
+    before = sums.sparkSession.createDataFrame(before, "range int, before long")
+    nth = F.row_number().over(Window.partitionBy("range").orderBy(order))
+    return ranges.join(F.broadcast(before), "range").withColumn("place", F.col("before") + nth - 1).drop("range", "before")
+
+
+def targets(sums: DataFrame, weights: tuple[int, ...], share: tuple[int, int], most: int) -> DataFrame:
+    """sums (source, source_size, ...) with target: the weights repeat along the sources and share share[0]/share[1] of all
+    sizes; a target stops at `most` times its source's size and the excess is shared anew by weight.
+
+    A round finds the sources that are full at the present share of a unit of weight, which only grows. The driver holds
+    three sums a round, however many sources there are."""
+    size = F.col("source_size").cast("decimal(20,0)")
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    rows = cut(ranked(sums).withColumn("weight", w.cast("long")), "sources")
+    total = rows.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(size > 0, F.col("weight"))), F.lit(0)).alias("w")).first()
+    left, open_weight, n_full = share[0] * total["n"], total["w"], 0  # left is in units of 1 / share[1]
+    while True:
+        full = F.col("weight") * F.lit(Decimal(left)) > size * F.lit(Decimal(most * share[1] * open_weight))
+        got = rows.where((size > 0) & full).agg(F.count("*").alias("rows"), F.coalesce(F.sum("source_size"), F.lit(0)).alias("n"), F.coalesce(F.sum("weight"), F.lit(0)).alias("w")).first()
+        if got["rows"] == n_full:
             break
-        for i in full:
-            out[i] = float(most * sizes[i])
-            left -= most * sizes[i] * share[1]
-        gone = set(full)
-        open_ = [i for i in open_ if i not in gone]
-    return out
+        n_full, left, open_weight = got["rows"], share[0] * total["n"] - most * share[1] * got["n"], total["w"] - got["w"]
+    open_target = F.col("weight").cast("double") * float(left) / float(max(share[1] * open_weight, 1))
+    return rows.withColumn("target", F.when(size == 0, 0.0).when(full, most * F.col("source_size").cast("double")).otherwise(open_target)).drop("place", "weight")
 
 
 def settle(mass: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, int]:
-    """Pairs one carried row with the next and moves words between them at random, so that the expectation of each and
-    the sum of both stay, until one of them is at 0 or at its whole size. Returns 1 or 0 for settled rows and the
-    position of the row that is left, -1 for none; its mass is then in `mass`."""
-    out, carry, u = np.zeros(len(mass), np.int64), -1, rng.random(len(mass))
-    m, s = mass.tolist(), size.tolist()
-    for j in range(len(m)):
-        if m[j] <= 1e-9 * s[j] or m[j] >= s[j] * (1 - 1e-9):
-            out[j] = m[j] > s[j] / 2
-            continue
-        if carry < 0:
-            carry = j
-            continue
-        i = carry
-        up, down = min(s[i] - m[i], m[j]), min(m[i], s[j] - m[j])  # what can go from j to i, and from i to j
-        d = up if u[j] * (up + down) < down else -down
-        m[i] += d
-        m[j] -= d
-        carry = -1
-        for k in (i, j):
-            if m[k] <= 1e-9 * s[k]:
-                out[k] = 0
-            elif m[k] >= s[k] * (1 - 1e-9):
-                out[k] = 1
-            else:
-                carry = k
-    mass[:] = m
-    return out, carry
-
-
-def balance(copies: np.ndarray, size: np.ndarray, target: float, most: int, steps: int = 8) -> None:
-    """Brings the words taken nearer to the target by one copy more or less of the row whose size is nearest to the
-    difference, as long as that helps: for a source that is rounded as a whole, whose last row may be a large one."""
-    for _ in range(steps):
-        over = float((copies * size).sum()) - target
-        able = np.flatnonzero((size > 0) & ((copies > 0) if over > 0 else (copies < most)))
-        if not len(able):
-            return
-        i = able[np.argmin(np.abs(size[able] - abs(over)))]
-        if abs(abs(over) - size[i]) >= abs(over):
-            return
-        copies[i] += -1 if over > 0 else 1
+    """Pivotal rounding of rows in descending size, mass of size words each. A row is paired with the pool of all smaller
+    ones that aren't settled: words move from the one to the other at random, so that the expectation of each and the
+    sum of all stay, until the row is at 0 or at its whole size, or else the pool has no more room. Rows of the pool share
+    what moves by their room (the less of mass and size - mass), which is the same in both directions.
+
+    Returns 1 or 0 for settled rows and the position of the row that is left, -1 for none; its mass is then in `mass`.
+    Large rows settle against many small ones, so the row that is left is as a rule one of the smallest."""
+
+    def snap(i: int) -> None:
+        m, s = mass[i:], size[i:]
+        m[m <= 1e-9 * s] = 0.0
+        np.copyto(m, s, where=m >= (1 - 1e-9) * s)
+
+    carry = -1
+    snap(0)
+    for i in range(len(mass)):
+        while carry < 0 and 0 < mass[i] < size[i]:
+            pool = mass[i + 1 :]
+            room = np.minimum(pool, size[i + 1 :] - pool)
+            total = room.sum()
+            if not total:
+                carry = i
+                break
+            able = room > 0
+            gives, takes = (total * (x[able] / room[able]).min() for x in (pool, size[i + 1 :] - pool))
+            up, down = min(size[i] - mass[i], gives), min(mass[i], takes)  # what can go to the row, and from it
+            d = up if rng.random() * (up + down) < down else -down
+            mass[i] += d
+            pool -= room * (d / total)
+            snap(i)
+    return (mass >= size).astype(np.int64) * (size > 0), carry
 
 
 def seeded(seed: int, level: int, source: str | None, node: int) -> np.random.Generator:
@@ -91,32 +96,33 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
     all columns of docs).
 
     A source's documents all ask for target / source_size copies. The whole part is given; the fractional parts are
-    rounded by the pivotal method on word mass: in a bucket of (source, hash of the row) two documents at a time move
-    words between them at random until one is integral; one residual document a bucket goes up a reduction tree of
-    fan-in 32, in which residuals are paired alike, until one is left a source, which is rounded to the nearer side. The
-    words of a source therefore stay at its target but for that last rounding; a source of a single bucket then moves a few
-    copies of rows whose sizes make up for it. The large documents come first, so the
-    last is as a rule a small one. All draws come from seeds of (source, level, node) and buckets from row contents:
-    reruns agree, whatever the partitions. Sources are one row each on the driver (names and sums only).
+    rounded by the pivotal method on word mass (see settle()) in buckets of (source, hash of the row). One residual
+    document a bucket goes up a reduction tree of fan-in 32, in which residuals are settled alike, until one is left a
+    source, which is drawn with the probability that it has left. The words of a source therefore stay at its target but
+    for that last document, one of the smallest unless a few large ones make up most of a bucket, and each document is
+    taken target / source_size times in expectation, at every size alike. All draws come from seeds of (source, level,
+    node) and buckets from row contents and, of equal rows, a number among them: reruns agree, whatever the partitions,
+    and equal rows spread over buckets.
 
     Nulls: a null text has size 0; a null source is a source of its own, last in order; a null doc_id is kept. Size 0
-    is taken 0 times (copies 0). Repeated rows are documents of their own. An empty table yields no rows."""
+    is taken 0 times (copies 0). Repeated rows are documents of their own. An empty table yields no rows. Very long texts
+    are counted whole."""
     n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words.alias("size"), F.xxhash64(*docs.columns).alias("row_key"))
     rows = cut(rows, "sizes")
-    sums = sorted(((r["source"], r["n"], r["rows"]) for r in rows.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
-    spark = docs.sparkSession
-    goal = targets([n for _, n, _ in sums], weights, share, most)
-    plan = spark.createDataFrame([(s, n, t, -(-r // bucket_rows)) for (s, n, r), t in zip(sums, goal, strict=True)], "source string, source_size long, target double, buckets long")
-    buckets = max([1, *(-(-r // bucket_rows) for _, _, r in sums)])
-    rows = rows.withColumn("bucket", F.xxhash64("doc_id", "row_key")).alias("r").join((F.broadcast(plan) if len(sums) <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
-    rows = rows.withColumn("bucket", F.pmod("bucket", "buckets")).withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    plan = cut(targets(sums, weights, share, most).withColumn("buckets", F.ceil(F.col("rows") / bucket_rows)).drop("rows"), "targets")
+    known = plan.agg(F.count("*").alias("n"), F.max("buckets").alias("most")).first()
+    buckets = known["most"] or 1
+    each = rows.groupBy(*rows.columns).agg(F.count("*").alias("equal")).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "equal"))).drop("equal").alias("r")
+    rows = each.join((F.broadcast(plan) if known["n"] <= BROADCAST_SOURCES else plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "buckets")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row_key", "nth"), "buckets")).withColumns({"copies": F.lit(0).cast("long"), "mass": F.lit(None).cast("double")})
 
     def round_up_the_tree(level: int):
         def work(pdf: pd.DataFrame) -> pd.DataFrame:
             last = pdf["buckets"].iat[0] == 1  # of its source
             source = None if pd.isna(pdf["source"].iat[0]) else pdf["source"].iat[0]
-            pdf = pdf.sort_values(["size", "doc_id", "row_key"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
+            pdf = pdf.sort_values(["size", "doc_id", "row_key", "nth"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
             size = pdf["size"].to_numpy(np.float64)
             if level == 0:
                 f = np.where(size > 0, (pdf["target"] / pdf["source_size"].where(pdf["source_size"] > 0, 1)).to_numpy(), 0.0)
@@ -125,18 +131,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
                 mass = (f - whole) * size
             else:
                 mass = pdf["mass"].to_numpy(np.float64).copy()
-            got, carry = settle(mass, size, seeded(seed, level, source, int(pdf["bucket"].iat[0])))
+            rng = seeded(seed, level, source, int(pdf["bucket"].iat[0]))
+            got, carry = settle(mass, size, rng)
             pdf["copies"] += got
             pdf["mass"] = np.nan
             if carry >= 0:
                 if last:
-                    pdf.loc[carry, "copies"] += int(mass[carry] >= size[carry] / 2)
+                    pdf.loc[carry, "copies"] += int(rng.random() * size[carry] < mass[carry])
                 else:
                     pdf.loc[carry, "mass"] = mass[carry]
-            if level == 0 and last:
-                copies = pdf["copies"].to_numpy(np.int64).copy()
-                balance(copies, size, float(pdf["target"].iat[0]), most)
-                pdf["copies"] = copies
             return pdf.astype({"doc_id": "Int64", "copies": "int64"})
 
         return work
@@ -156,7 +159,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int,
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs, all columns, each as often as mix() takes it."""
+    """The rows of docs, all columns, each as often as mix() takes it; nulls and repeated rows as there: equal rows are
+    taken as often as all of them together. An empty table yields no rows."""
     copies = mix(docs, **settings).groupBy("doc_id", "row_key").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
     copies = cut(copies.withColumnsRenamed({"doc_id": "__id", "row_key": "__key"}), "copies")
     rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
