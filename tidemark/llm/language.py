@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_crc_column
+from .common import cut, id_crc_column
 
 DIM_BITS = 14
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 #: Families of languages by ISO 639-1 code (fixed values); any other language is a family of its own.
@@ -35,18 +34,17 @@ def family_of(lang: str) -> str:
 
 @lru_cache(maxsize=1)
 def letters() -> np.ndarray:
-    """Which code points of the first plane are letters; those beyond it count as letters."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x10000)), bool, 0x10000)
+    """Which code points are letters; fractions, circled numbers, Roman numerals and emoji aren't."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Sparse unit vector: square roots of the counts of hashed 1- to 4-letter sequences of the whole text, with word
-    edges; anything but letters is an edge."""
-    none = np.empty(0, np.int32), np.empty(0, np.float32)
-    if not text or not LETTER.search(text):
-        return none
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    is_letter = np.where(code < 0x10000, letters()[np.minimum(code, 0xFFFF)], True)
+    edges; anything but letters is an edge. Empty without a letter."""
+    code = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    is_letter = letters()[code]
+    if not is_letter.any():
+        return np.empty(0, np.int32), np.empty(0, np.float32)
     x = np.concatenate(([0], np.where(is_letter, code, 0), [0])).astype(np.uint32)
     x = x[np.concatenate(([True], (x[1:] != 0) | (x[:-1] != 0)))]
     total, h = np.zeros(1 << DIM_BITS, np.int64), x * np.uint32(0x9E3779B1)
@@ -125,22 +123,20 @@ class Model:
         return lang, float(min(1.0, max(0.0, sure)))
 
 
-def learn(docs: DataFrame, sample_rows: int) -> Model:
-    """A model of at most sample_rows documents, as many of each language: those with the lowest hashes. Only features
-    of that documented number of rows reach the driver."""
-    n = docs.select("lang").distinct().count()
-    each = min(1000, max(2, sample_rows // max(n, 1)))
+def learn(docs: DataFrame, sample_rows: int, most_languages: int) -> Model:
+    """A model of at most sample_rows documents, as many of each of the most_languages commonest languages: those with the
+    lowest hashes. Only features of that documented number of rows reach the driver."""
+    common = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(min(most_languages, sample_rows // 2)).collect()
+    each = min(1000, sample_rows // max(len(common), 1))
+    # A language's lowest hashes are among those below a share of all that holds a few times as many, so that a common
+    # language sends a bounded number of rows to the task that orders them.
+    shares = [(r["lang"], min(1.0, (4 * each + 200) / r["count"])) for r in common]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     hashed = docs.withColumn("h", F.xxhash64("doc_id", "text"))
-
-    def lowest(df: DataFrame) -> DataFrame:
-        """Each task keeps `each` rows a language before the shuffle."""
-        w = Window.partitionBy("lang").orderBy("h", "doc_id")
-        return df.withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).drop("r")
-
-    # Hashes are chosen first, without texts; texts of the chosen hashes (sample_rows at most) follow. Equal rows share a
-    # hash, so the choice is made once more among them.
-    hashes = lowest(hashed.select("lang", "h", "doc_id")).select("h").distinct()
-    picked = lowest(hashed.join(F.broadcast(hashes), "h", "left_semi")).select("lang", "text")
+    low = hashed.join(F.broadcast(shares), "lang").where(F.shiftrightunsigned("h", 11) / F.lit(2.0**53) < F.col("share")).select("lang", "h").distinct()
+    chosen = low.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= each).select("lang", "h")
+    # Texts of the chosen hashes follow, one of rows that are equal.
+    picked = hashed.join(F.broadcast(cut(chosen, "sample")), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
 
     def work(batches):
         for b in batches:
@@ -151,18 +147,19 @@ def learn(docs: DataFrame, sample_rows: int) -> Model:
     return Model(sorted((r["lang"], bytes(r["at"]), bytes(r["v"])) for r in rows if len(r["at"])))
 
 
-def identify(docs: DataFrame, modulus: int = 5, held_out: int = 0, sample_rows: int = 2400) -> DataFrame:
+def identify(docs: DataFrame, modulus: int = 5, held_out: int = 0, sample_rows: int = 2400, most_languages: int = 100) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score (0 to 1).
 
     Learns from text and lang of documents whose crc32(doc_id as text) mod modulus isn't held_out, from a bounded sample
-    of sample_rows documents (at least 2 and at most 1,000 a language). A prediction reads the whole text and nothing
+    of sample_rows documents (at least 2 and at most 1,000 a language) in the most_languages commonest languages: rarer values
+    of lang are never predicted. A prediction reads the whole text and nothing
     else. The weights go to the executors with the code: 64 KB for each machine.
 
     Nulls: a null text, or one without a letter, is `und` with score 0; a null lang isn't learned from; a null doc_id has
     crc32 0. Without any labelled text all are `und`. Repeated rows are predicted alike. An empty table yields no rows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     held = id_crc_column(F.col("doc_id")) % modulus == held_out
-    model = learn(rows.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull()), sample_rows)
+    model = learn(rows.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull()), sample_rows, most_languages)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
