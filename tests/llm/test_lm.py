@@ -52,6 +52,36 @@ def test_weights_are_a_distribution_and_recover_a_mixture():
     assert np.allclose(w.sum(1), 1) and w[2, 0] < 0.01 and w[2, 1] > 0.9
 
 
+def test_weights_equal_plain_expectation_maximisation():
+    rng, steps, width = np.random.default_rng(5), lm_score.STEP, lm_score.BINS + 1
+    n, p0 = 4000, 1e-4
+    bucket = rng.choice([0, 2, 5], n)
+    p2, p1 = np.where((bucket == 0) | (rng.random(n) < 0.3), 0, rng.random(n) ** 3), rng.random(n) ** 4 + 1e-9
+    bins = [np.where(p > 0, np.minimum(-np.log(np.maximum(p, 1e-300)) * steps, lm_score.BINS - 1), lm_score.BINS).astype(int) for p in (p2, p1)]
+    cells, count = np.unique((bucket * width + bins[0]) * width + bins[1], return_counts=True)
+    got = lm_score.learn_weights(cells, count.astype(float), p0)
+
+    def plain(rows, w, prior):
+        for _ in range(60):
+            total = 10 * prior
+            for a, b in zip(p2[rows], p1[rows], strict=True):
+                share = w * np.array([a, b, p0])
+                total = total + share / share.sum()
+            w = total / total.sum()
+        return w
+
+    pooled = plain(np.arange(n), np.array([0.5, 0.4, 0.1]), np.zeros(3) + 1e-7)
+    unseen = np.array([0, *pooled[1:] / pooled[1:].sum()])
+    for b in (0, 2, 5):
+        prior = unseen if b == 0 else pooled
+        assert np.allclose(got[b], plain(np.flatnonzero(bucket == b), prior, prior), atol=0.01)
+    assert got[0, 0] == 0 and np.allclose(got.sum(1), 1)
+
+
+def test_probabilities_after_an_unseen_word_add_up_to_one():
+    assert (lm_score.learn_weights(np.array([], np.int64), np.array([]), 0.1)[0, 0]) == 0
+
+
 def test_packing_round_trip():
     x = np.array([0, 1, 2**63, 5], np.uint64)
     assert (lm_score.from_planes(lm_score.planes(x), np.uint64) == x).all()

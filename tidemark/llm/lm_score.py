@@ -206,7 +206,8 @@ def evidence(joined, n_counted: int):
 
 def learn_weights(cells: np.ndarray, n: np.ndarray, p0: float, rounds: int = 60) -> np.ndarray:
     """Weights of (bigram, unigram, uniform) for each bucket by expectation-maximisation. A bucket begins at the weights
-    of all held-out tokens together, which also count as ten tokens of it, so that rare buckets stay near them."""
+    of all held-out tokens together, which also count as ten tokens of it, so that rare buckets stay near them; in bucket 0
+    (contexts that don't occur) the bigram's weight goes to the others, so that probabilities add up to one."""
     bucket, rest = cells // (BINS + 1) ** 2, cells % (BINS + 1) ** 2
     p = np.stack([np.where(b == BINS, 0.0, np.exp(-(b + 0.5) / STEP)) for b in (rest // (BINS + 1), rest % (BINS + 1))] + [np.full(len(cells), p0)], axis=1)
 
@@ -217,11 +218,12 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, p0: float, rounds: int = 60)
             w = total / total.sum()
         return w
 
-    start = np.array([0.5, 0.4, 0.1])
-    if not len(cells):
-        return np.tile(start, (BUCKETS, 1))
-    pooled = fit(np.ones(len(cells), bool), start, None)
-    return np.array([fit(bucket == b, pooled, pooled) if (bucket == b).any() else pooled for b in range(BUCKETS)])
+    pooled = np.array([0.5, 0.4, 0.1])
+    if len(cells):
+        pooled = fit(np.ones(len(cells), bool), pooled, None)
+    unseen = np.array([0.0, *pooled[1:] / pooled[1:].sum()])  # after a word that never occurred no bigram is possible
+    prior = [unseen if b == 0 else pooled for b in range(BUCKETS)]
+    return np.array([fit(bucket == b, prior[b], prior[b]) if (bucket == b).any() else prior[b] for b in range(BUCKETS)])
 
 
 def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
