@@ -1,7 +1,8 @@
 import itertools
+import random
 
 import numpy as np
-from helpers import Sets, documents, empty, texts
+from helpers import Sets, documents, empty, sentence, texts
 
 from tidemark.llm import near_dup
 from tidemark.llm.common import lower_words
@@ -53,6 +54,19 @@ def test_nulls_repeats_and_empty(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [5, 8, 9, None, None]
 
 
+def test_ids_with_several_texts(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(sentence(rng, 60).split()) for _ in range(3))
+    rows = [(5, a), (5, b), (6, a + " end"), (7, b + " end"), (8, c), (3, c + " end"), (8, a + " x"), (9, "quite another text of some words"), (9, None), (10, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(df, 4).collect()}
+    assert got == {(i, 3) for i in (3, 5, 6, 7, 8)} | {(9, 9), (10, 10)}
+    kept = sorted(((r["doc_id"], r["text"]) for r in near_dup.without_near_duplicates(df, 4).collect()), key=str)
+    assert kept == sorted([(5, a), (5, b), (3, c + " end"), (9, "quite another text of some words"), (9, None), (10, "")], key=str)
+    again = near_dup.without_near_duplicates(df.unionByName(df), 4).count()
+    assert again == len(kept) + 2  # rows without words all stay
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     u = rng.integers(1, 2**63, 900).astype(np.uint64)

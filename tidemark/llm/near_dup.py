@@ -74,7 +74,7 @@ def likely(na: np.ndarray, nb: np.ndarray, ra: np.ndarray, rb: np.ndarray) -> np
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if it is empty), bands, registers, bits."""
+    """doc_id, doc (hash of the text), n_shingles, key (of the set; null if it is empty), bands, registers, bits."""
 
     def work(batches):
         hashes = WordHashes()
@@ -91,9 +91,9 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                         rows.append((0, None, None, None, None))
                 types = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 500), *columns], ["doc_id", "n_shingles", "key", "bands", "registers", "bits"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 500), b.column(2).slice(i, 500), *columns], ["doc_id", "doc", "n_shingles", "key", "bands", "registers", "bits"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, key binary, bands array<long>, registers binary, bits array<long>")
+    return docs.select("doc_id", "text", "doc").mapInArrow(work, "doc_id long, doc long, n_shingles long, key binary, bands array<long>, registers binary, bits array<long>")
 
 
 def near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -116,18 +116,20 @@ def near_enough(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 
 def whole_sets(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """id, s: the whole shingle sets of named classes (column rep)."""
-    named = named.distinct().join(classes.select("rep", "key"), "rep").dropDuplicates(["rep"])
+    """id, s: the whole shingle sets of named classes (column rep), each read from its first document. Of rows that repeat
+    that document's id and text one is read."""
+    named = named.distinct().join(classes.select("rep", F.col("first.doc_id").alias("doc_id"), F.col("first.doc").alias("doc"), "rows"), "rep")
 
     def sets(batches):
         hashes = WordHashes()
         for t in batches:
             for i in range(0, t.num_rows, 500):
                 got = [shingle_set(hashes.of(lower_words(x.as_py())), k).tobytes() for x in t.column(1).slice(i, 500)]
-                right = [xxhash.xxh3_128_digest(s) == key for s, key in zip(got, t.column(2).slice(i, 500).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([t.column(0).slice(i, 500), pa.array(got, pa.binary())], ["id", "s"]).filter(pa.array(right, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([t.column(0).slice(i, 500), pa.array(got, pa.binary())], ["id", "s"])
 
-    return cut(docs.select(F.col("doc_id").alias("rep"), "text").join(named, "rep").select("rep", "text", "key").mapInArrow(sets, "id long, s binary"), "sets")
+    texts = docs.join(named, ["doc_id", "doc"]).select("rep", "text", "rows")
+    once = texts.where("rows = 1").unionByName(texts.where("rows > 1").dropDuplicates(["rep"]))
+    return cut(once.select("rep", "text").mapInArrow(sets, "id long, s binary"), "sets")
 
 
 def own_shingles(whole: DataFrame) -> DataFrame:
@@ -143,29 +145,16 @@ def own_shingles(whole: DataFrame) -> DataFrame:
     return once.groupBy("id").agg(F.count("*").alias("own"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept, class_id.
-
-    Two documents are linked if their sets of distinct k-word shingles (A-Z in lower case) share percent of their union.
-    1. One pass makes SetSketch registers, 7 to a band, and a key of the set. Equal sets form a class, whose smallest id
-       stands for it from here on. 2. In each bucket of equal bands every class is paired with its centre; sizes and the
-       likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
-       a bucket still holds several components, the pairs across them are decided too: shingles that no other member has, and
-       those of the bucket's centre that a member has, bound what two can have in common, which rules out nearly all
-       that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
-
-    Hot groups: classes and bucket minima are aggregated before the shuffle; joins have the small side unique by key, so
-    that Spark splits the large one. Bands miss a pair at 0.8 with a probability of 1e-5, less above.
-
-    Nulls: a null text, or one without words, has an empty set and is linked with nothing; a row without doc_id is linked
-    with nothing, its component_id is null and it is kept. Repeated rows share a class. An empty table yields no rows."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def linked_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of docs (doc_id, text, doc): the table of sketch(); classes of equal sets (rep, a number; key; first, the least of
+    (doc_id, doc); and more); and roots (node, root) of the classes that are linked with another. See near_duplicates()."""
     rows = cut(sketch(docs, k), "sketches")
-    reps = rows.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    classes = cut(rows.withColumnRenamed("doc_id", "rep").join(reps, ["key", "rep"], "left_semi"), "classes")
+    known = rows.where("key is not null and doc_id is not null")
+    first = known.groupBy("key").agg(F.min(F.struct("doc_id", "doc")).alias("first"), *[F.any_value(c).alias(c) for c in ("n_shingles", "bands", "registers", "bits")], F.count("*").alias("rows"))
+    classes = cut(first.withColumn("rep", F.monotonically_increasing_id()), "classes")  # fixed once it is written
     members = classes.select("rep", F.explode("bands").alias("bucket"))
-    first = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("bucket")
-    members = cut(with_centre(cut(members.join(first, "bucket"), "members"), "rep"), "members")
+    shared = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("bucket")
+    members = cut(with_centre(cut(members.join(shared, "bucket"), "members"), "rep"), "members")
     star = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     close = near_enough(star, classes, percent)
     links = verified(close, whole_sets(close.select(F.explode(F.array("a", "b")).alias("rep")), classes, docs, k), percent)
@@ -186,8 +175,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rest = across(placed.join(main, "bucket").where("root <> main"), placed, percent, WORDS, FEW_BITS).distinct().join(star, ["a", "b"], "left_anti")
     more = verified(near_enough(cut(rest, "rest"), classes, percent), whole, percent)
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
-    named = reps.join(roots, F.col("rep") == F.col("node"), "left").select("key", F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id"))
+        roots = cut(components(links.unionByName(more)), "roots")
+    return rows, classes, roots
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept, class_id.
+
+    Two documents are linked if their sets of distinct k-word shingles (A-Z in lower case) share percent of their union.
+    1. One pass makes SetSketch registers, 7 to a band, and a key of the set. Equal sets form a class, whose smallest id
+       stands for it from here on. 2. In each bucket of equal bands every class is paired with its centre; sizes and the
+       likelihood estimate drop what can't be near; whole shingle sets decide. 3. Components of these links. 4. Where
+       a bucket still holds several components, the pairs across them are decided too: shingles that no other member has, and
+       those of the bucket's centre that a member has, bound what two can have in common, which rules out nearly all
+       that aren't linked; the others are verified in the same way, so no link is lost to step 2, and components are formed anew. A group of copies thus costs one pair a member, not one for each two.
+
+    Hot groups: classes and bucket minima are aggregated before the shuffle; joins have the small side unique by key, so
+    that Spark splits the large one. Bands miss a pair at 0.8 with a probability of 1e-5, less above. Whole sets are
+    compared by 53 bits of each shingle's hash, classes by 128.
+
+    Nulls: a null text, or one without words, has an empty set and is linked with nothing; a row without doc_id is linked
+    with nothing, its component_id is null and it is kept. Repeated rows share a class. Rows that repeat an id with other
+    texts are one document with several sets: links of each are its links, and all its rows with words get one
+    component_id. An empty table yields no rows. Texts of any length are read whole."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("doc"))
+    rows, classes, roots = linked_classes(docs, k, percent)
+    known = rows.where("key is not null and doc_id is not null")
+    several = known.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("doc_id")
+    several = cut(known.select("doc_id", "key").join(several, "doc_id").distinct().join(classes.select("key", "rep"), "key").select("doc_id", "rep"), "several")
+    if not several.isEmpty():  # classes that share an id are linked through it
+        through = several.join(several.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
+        roots = cut(components(through.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).where("a <> b"))), "roots")
+    roots = classes.select("key", "rep", "first.doc_id").join(roots, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("root", "rep").alias("root"), "doc_id")
+    least = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = roots.join(least, "root").select("key", F.col("doc_id").alias("class_id"), "component_id")
     alone = F.col("key").isNull() | F.col("doc_id").isNull()  # apart from the join, where nulls would meet in one task
     out = rows.where(~alone).join(named, "key").select("doc_id", "n_shingles", "component_id", "class_id")
     out = out.unionByName(rows.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id")))
@@ -195,10 +216,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, all columns, with one document of each group that near_duplicates() finds; of rows that repeat an
-    id one stays, and rows without id all stay."""
-    kept = cut(near_duplicates(docs, k, percent).where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count(), "kept")
-    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
-    if not kept.where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id is null"))
+    """The rows of docs, all columns, with one row of each group of linked sets: that with the smallest id and, of equal
+    ids, the smallest hash of the text. Rows without id and rows without words all stay. Here an id links nothing: rows that
+    repeat an id with other texts are apart unless these are near. An empty table yields no rows."""
+    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__doc": F.xxhash64("text")})
+    rows, classes, roots = linked_classes(keyed.select(F.col("__id").alias("doc_id"), "text", F.col("__doc").alias("doc")), k, percent)
+    group = classes.select("rep", "first", "rows").join(roots, F.col("rep") == F.col("node"), "left").groupBy(F.coalesce("root", "rep").alias("root"))
+    kept = cut(group.agg(F.min(F.struct("first", "rows")).alias("best")).select(F.col("best.first.doc_id").alias("__id"), F.col("best.first.doc").alias("__doc"), F.col("best.rows").alias("__rows")), "kept")
+    found = keyed.join(kept, ["__id", "__doc"])
+    found = found.where("__rows = 1").unionByName(found.where("__rows > 1").dropDuplicates(["__id", "__doc"])).select(docs.columns)
+    empty = rows.where("key is null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("doc").alias("__doc")).distinct()
+    return found.unionByName(keyed.join(empty, ["__id", "__doc"], "left_semi").select(docs.columns)).unionByName(docs.where("doc_id is null"))
