@@ -1,11 +1,17 @@
+import random
+import re
+import time
+
+import duckdb
 import pytest
 
+from tidemark.llm import html_text
 from tidemark.llm.html_text import extract, main_text
 
 LONG = "the cat is on the mat and it was in the house of the king. " * 5
 
 
-def test_marked_article_is_taken_whole():
+def test_marked_article_without_its_boilerplate():
     page = f"""<html><head><title>T</title><style>p{{}}</style></head><body class="nav-open"><nav><ul><li><a href="/">Home</a></li></ul></nav>
     <div class="ad">Buy the best of the things that are in the shop.</div><header>Site</header><article><header><h1>Head &amp; line</h1></header><p><b>Bold<br><p>A  b
     &eacute;&#x41;</p><p>x</p><aside>See also</aside><div class="share">Share</div><script>var a = "</p>";</script><form><p>Name</p></form></article>
@@ -61,8 +67,54 @@ def test_inside_an_article_both_passes_decide():
     assert extract(page).split("\n") == ["Head", LONG.strip(), words.strip(), "Short.", LONG.strip()]
 
 
+KEYWORDS = "shoes hats coats socks gloves " * 10
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_second_pass_equals_plain_search_for_neighbours(seed):
+    rng = random.Random(seed)
+    kinds = [rng.choice("gbs") for _ in range(rng.randint(1, 12))]
+    text = {"g": LONG.strip(), "b": KEYWORDS.strip(), "s": "Short one."}
+    page = "<body>" + "".join(f"<p>{text[k]}</p>" for k in kinds) + "</body>"
+    listed = kinds.count("g") * len(LONG) >= 0.25 * (kinds.count("g") * len(LONG) + kinds.count("b") * len(KEYWORDS))
+    decided = ["" if k == "s" else "good" if k == "g" or not listed else "bad" for k in kinds]
+    want = []
+    for i, d in enumerate(decided):
+        near = {next((x for x in decided[i + 1 :] if x), ""), next((x for x in decided[:i][::-1] if x), "")} - {""}
+        if d == "good" or not d and near in (set(), {"good"}):
+            want.append(text[kinds[i]])
+    assert extract(page) == "\n".join(want)
+
+
+def test_both_passes_matter(monkeypatch):
+    page = f"<body><p>{LONG}</p><p>Short one.</p><p>{LONG}</p><p>{KEYWORDS}</p><p>Offers</p><p>{KEYWORDS}</p></body>"
+    assert extract(page).split("\n") == [LONG.strip(), "Short one.", LONG.strip()]
+    monkeypatch.setattr(html_text, "stop_density", lambda t: 0.5)
+    assert len(extract(page).split("\n")) == 6
+
+
+def test_a_page_of_short_blocks_has_text():
+    assert extract('<body><div class="menu">Home</div><h1>Head</h1><p>Short.</p><div class="ad">more</div></body>') == "Head\nShort."
+
+
+def test_articles_are_found_without_their_marks():
+    rows = duckdb.sql("select html from '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    same = sum(extract(h) == extract(re.sub(r"<(/?)(article|main)\b", r"<\1div", h)) for (h,) in rows)
+    assert same >= 0.95 * len(rows)
+
+
+@pytest.mark.parametrize("part", ["<p>x</p>", "<option>x", "<button>a", "<div>", "</ul>", "<p ", "<a '", "<!--", "<li><b>x ", "&amp;", "word "])
+def test_time_grows_with_the_length(part):
+    def took(n):
+        began = time.process_time()
+        extract("<div>" * 2000 + part * (n // len(part)))
+        return time.process_time() - began
+
+    assert took(400_000) < 12 * max(took(100_000), 0.05)
+
+
 def test_broken_and_empty_markup():
-    assert extract(None) == extract("") == extract("<") == ""
+    assert extract(None) == extract("") == extract("<p>") == "" and extract("<") == "<"
     assert extract("<article><p>a<p>b <i>c</i></article") == "a\nb c"
     assert extract("<article><p>1 < 2 & 3</p><!-- no <p>x</p> --><p>y") == "1 < 2 & 3\ny"
     assert extract("<article><script>never closed <p>x") == ""
@@ -77,7 +129,6 @@ def test_table(spark):
 
 def test_all_articles_of_the_table(spark, sf_dir):
     import html
-    import re
 
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     got = {r["page_id"]: r["text"] for r in main_text(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style noscript template textarea title svg iframe object select option button head math audio video canvas".split())
+END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE) for tag in RAW}
 #: Elements that begin and end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,7 +41,7 @@ STOP_WORDS = frozenset(
     il di che e per non una sono con del da si come anche più o ma nel alla della os as do da em um uma para com não mais dos como mas ao het een van ik te dat niet zijn op aan met voor""".split()
 )
 
-SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.2, 0.3, 0.33
+SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.1, 0.2, 0.33
 #: Most links of a good block beside an article.
 FEW_LINKS = 0.1
 #: The share of a page's longer text that must reach STOP_LOW for its language to count as one with a list.
@@ -74,6 +76,8 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, bool, frozenset[str]]] = []  # tag, inside an article, reasons against it
     parts: list[str] = []
+    open_: Counter[str] = Counter()  # of stack
+    ends: dict[str, re.Match | None] = {}  # the next end of elements in RAW
     linked, in_link, at, n = 0, 0, 0, len(page)
 
     def close() -> None:
@@ -108,14 +112,17 @@ def blocks_of(page: str) -> list[Block]:
                 in_link = max(0, in_link - 1)
             elif tag in BLOCK:
                 close()
-                for i in range(len(stack) - 1, -1, -1):
+                for i in range(len(stack) - 1, -1, -1) if open_[tag] else ():
                     if stack[i][0] == tag:
+                        open_.subtract(t for t, _, _ in stack[i:])
                         del stack[i:]
                         break
                     if tag in ("p", "li") and stack[i][0] not in ("p", "li"):
                         break  # a stray end
         elif tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at) if not m[3].endswith("/") else None
+            if tag not in ends or ends[tag] and ends[tag].start() < at:  # an end is searched for once, or not found once
+                ends[tag] = END[tag].search(page, at)
+            end = ends[tag] if not m[3].endswith("/") else None
             if tag == "head":
                 continue  # its own content is in other such elements
             at = end.end() if end else at if m[3].endswith("/") or tag in ("option", "button", "select") else n
@@ -129,7 +136,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag in VOID:
                 continue
             if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd")):
-                stack.pop()  # ends with the next block
+                open_[stack.pop()[0]] -= 1  # ends with the next block
             _, article, against = stack[-1] if stack else ("", False, frozenset())
             own = hints(tag, m[3])
             if tag in ("article", "main"):
@@ -139,6 +146,7 @@ def blocks_of(page: str) -> list[Block]:
             elif tag in ("h1", "p") and article:
                 own -= {"banner", "notice", "notices"}
             stack.append((tag, article, against | own))
+            open_[tag] += 1
     close()
     return out
 
@@ -166,7 +174,8 @@ def extract(page: str | None) -> str:
     a block in another script, or on a page of whose longer text less than LISTED reaches STOP_LOW, is decided by links and
     length alone, so that long lists of keywords pass there. Second pass: each ambiguous block takes the label of its
     nearest decided neighbours outside of menus and the like, in the same part of the page (in or out of the article); if
-    they differ it is bad outside of an article, unless it heads a good block.
+    they differ it is bad outside of an article, unless it heads a good block; where nothing is decided (a page of short
+    blocks) it is good if it has few links.
 
     An article mark is a prior for both passes. Inside, few stop words aren't held against a block (lists, code and
     names are text there), and an ambiguous one is bad only if it is full of links or short, and between bad ones. Outside
@@ -205,24 +214,28 @@ def extract(page: str | None) -> str:
                 b.label = "bad" if length(b.text) >= SHORT else b.label
     decided = [b.label for b in blocks]
 
-    def nearest(i: int, step: int) -> str:
-        j = i + step
-        while 0 <= j < len(blocks):
-            if decided[j] and blocks[j].article == blocks[i].article and not blocks[j].boiler:
-                return decided[j]
-            j += step
-        return ""
-
+    def nearest(order) -> list[str]:
+        """For each block the label of the latest decided one before it in that order, outside of menus and the like and in
+        the same part of the page: one sweep, however many blocks are undecided."""
+        last, out = {True: "", False: ""}, [""] * len(blocks)
+        for i in order:
+            out[i] = last[blocks[i].article]
+            if decided[i] and not blocks[i].boiler:
+                last[blocks[i].article] = decided[i]
+        return out
+
+    forth, back = nearest(range(len(blocks))), nearest(range(len(blocks) - 1, -1, -1))
     for i, b in enumerate(blocks):
         if not decided[i]:
-            before, after = nearest(i, -1), nearest(i, 1)
+            before, after = forth[i], back[i]
             found = {before, after} - {""}
             if b.article:
                 b.label = "bad" if before == after == "bad" and len(b.text) < SHORT or found == {"bad"} and b.linked > LINKS * len(b.text) else "good"
             elif held:
                 b.label = "good" if before == after == "good" or b.heading and after == "good" else "bad"
             else:
-                b.label = found.pop() if len(found) == 1 else after if b.heading and after else "bad"
+                none = "good" if b.linked <= LINKS * len(b.text) else "bad"
+                b.label = none if not found else found.pop() if len(found) == 1 else after if b.heading else "bad"
     return "\n".join(b.text for b in blocks if b.label == "good")
 
 
