@@ -31,8 +31,11 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, partition: str | Non
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that all executors share."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+    """A folder that all executors share: below spark.checkpoint.dir; elsewhere only where it is unset on a local master."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    at = at or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
     return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
