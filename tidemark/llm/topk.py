@@ -36,7 +36,7 @@ def search(vectors: DataFrame, k: int = 10, query_modulus: int = 100, scale: int
 
     Nulls: rows with a null id, a null or empty vector, or null or non-finite components take no part. Vectors are only
     compared with those of their length. Repeated ids: all rows of a query's own id are left out of its candidates; the
-    query is the smallest of its rows, and each other row is a candidate. An empty table yields no rows."""
+    query is the smallest of its rows of each length, and each other row is a candidate. An empty table yields no rows."""
     x = F.transform("embedding", lambda c: F.floor(c.cast("double") * scale).cast("double"))
     finite = F.coalesce(F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(F.col("vec_id").isNotNull() & finite & (F.size("embedding") > 0))
@@ -87,7 +87,7 @@ def search(vectors: DataFrame, k: int = 10, query_modulus: int = 100, scale: int
             inside = inside[inside >= np.partition(inside, len(inside) - need)[len(inside) - need]]
         width = -(-(hi - lo + 1) // bins)
         part, n = np.unique([(int(x) - lo) // width for x in inside], return_counts=True)
-        return pd.DataFrame({"query_id": i, "part": part.astype(np.int64), "n": n.astype(np.int64)})
+        return pd.DataFrame({"dim": at["dim"], "query_id": i, "part": part.astype(np.int64), "n": n.astype(np.int64)})
 
     def chosen(i, at, ids, vals):
         above, equal = vals > int(at["lo"]), np.flatnonzero(vals == int(at["lo"]))[:k]  # ids ascend
@@ -95,16 +95,16 @@ def search(vectors: DataFrame, k: int = 10, query_modulus: int = 100, scale: int
         return pd.DataFrame({"query_id": i, "vec_id": ids[keep], "score": vals[keep]})
 
     def with_known(state: DataFrame) -> DataFrame:
-        known = state.groupBy("dim", "q").agg(F.collect_list(F.struct("query_id", "lo", "hi", "need")).alias("known"))
+        known = state.groupBy("dim", "q").agg(F.collect_list(F.struct("dim", "query_id", "lo", "hi", "need")).alias("known"))
         return pairs.join(known, ["dim", "q"]).select(*columns, "known")
 
     state = pairs.mapInPandas(limits, "query_id long, lo long, hi long, n long, dim int, q long")
     state = cut(state.groupBy("dim", "q", "query_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).select("dim", "q", "query_id", "lo", "hi", F.least("n", F.lit(k).cast("long")).alias("need")), "limits")
     while not state.where("lo < hi").isEmpty():
         open_ = state.where("lo < hi")
-        parts = with_known(open_).mapInPandas(lambda b: per_query(b, counted), "query_id long, part long, n long").groupBy("query_id", "part").agg(F.sum("n").alias("n"))
-        down = Window.partitionBy("query_id").orderBy(F.col("part").desc())
-        at = parts.withColumn("sum", F.sum("n").over(down)).join(open_, "query_id").where((F.col("sum") >= F.col("need")) & (F.col("sum") - F.col("n") < F.col("need")))
+        parts = with_known(open_).mapInPandas(lambda b: per_query(b, counted), "dim int, query_id long, part long, n long").groupBy("dim", "query_id", "part").agg(F.sum("n").alias("n"))
+        down = Window.partitionBy("dim", "query_id").orderBy(F.col("part").desc())
+        at = parts.withColumn("sum", F.sum("n").over(down)).join(open_, ["dim", "query_id"]).where((F.col("sum") >= F.col("need")) & (F.col("sum") - F.col("n") < F.col("need")))
         width = F.expr(f"(hi - lo + {bins}) div {bins}")
         at = at.withColumn("low", F.col("lo") + F.col("part") * width)
         at = at.select("dim", "q", "query_id", F.col("low").alias("lo"), F.least(F.col("hi"), F.col("low") + width - 1).alias("hi"), (F.col("need") - (F.col("sum") - F.col("n"))).alias("need"))
