@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from helpers import documents, empty
 from hypothesis import given, settings
@@ -62,3 +63,21 @@ def test_table(spark):
     assert (one[1]["n_email"], one[1]["spans"], one[1]["redacted"]) == (1, "email:5:11", "mail [EMAIL] now")
     assert one[1]["base_sha256"] == hashlib.sha256(b"email:5:11").hexdigest()
     assert pii.find(empty(spark)).count() == 0
+
+
+def test_credentials_with_known_prefixes():
+    for secret in ("AKIA" + "A1B2" * 4, "ghp_" + "a1B2" * 9, "github_pat_" + "a_1" * 10, "sk_live_" + "4eC39HqLyjWD", "xoxb-123456789012-abcDEF"):
+        text = f"see {secret}, please"
+        assert (4, 4 + len(secret), "account") in pii.spans(text)
+        assert pii.spans("x" + secret.rstrip("-")) == [] or all(k != "account" for _, _, k in pii.spans("x" + secret))
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIEow\nIBAA==\n-----END RSA PRIVATE KEY-----"
+    assert (2, 2 + len(key), "account") in pii.spans(f"a {key} b")
+    assert [k for _, _, k in pii.spans("-----BEGIN PRIVATE KEY----- and no end")] == ["account"]
+    assert pii.spans("-----BEGIN CERTIFICATE----- AKIA ghp_ sk_live_") == []
+
+
+def test_very_long_texts_are_read_in_linear_time():
+    for part in ("1", "1.", "+1", "a@a", "://", "-----BEGIN PRIVATE KEY-----", "AKIA", "token = "):
+        began = time.process_time()
+        pii.spans(part * (1_000_000 // len(part)))
+        assert time.process_time() - began < 30, part

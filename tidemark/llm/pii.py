@@ -26,6 +26,13 @@ ACCOUNT_CUES = ("account", "acct", "iban", "ssn", "passport", "token", "password
 AFTER_CUE = re.compile(r"(?: ?(?:no|nr|number|num|id)\b\.?)?[ \t]*(?:[:=#]|is\b)[ \t]*[\"']?", re.IGNORECASE)
 ACCOUNT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_/+-]|[ ](?=[0-9]{2,4}\b)){4,79}")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+#: Prefixes by which issued credentials are known, with what follows them (fixed values).
+SECRETS = {
+    "AKIA": r"[A-Z0-9]{16}", "ASIA": r"[A-Z0-9]{16}", "ghp_": r"[A-Za-z0-9]{20,255}", "gho_": r"[A-Za-z0-9]{20,255}", "ghs_": r"[A-Za-z0-9]{20,255}",
+    "github_pat_": r"[A-Za-z0-9_]{20,255}", "sk_live_": r"[A-Za-z0-9]{10,255}", "sk_test_": r"[A-Za-z0-9]{10,255}", "rk_live_": r"[A-Za-z0-9]{10,255}",
+    "xoxb-": r"[A-Za-z0-9-]{10,255}", "xoxp-": r"[A-Za-z0-9-]{10,255}", "-----BEGIN ": r"(?:[A-Z0-9]+ ){0,4}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]{0,20000}-----END [A-Z0-9 ]{0,40}-----)?",
+}
+AFTER_PREFIX = {p: re.compile(x) for p, x in SECRETS.items()}
 USERINFO = re.compile(r"[^\s/@:]{1,64}(?::[^\s/@]{1,128})?(?=@[A-Za-z0-9.-])")
 #: Words that end the name of a street.
 STREETS = ("Street", "Avenue", "Road", "Boulevard", "Lane", "Drive", "Straße", "Strasse")
@@ -41,6 +48,7 @@ def automaton():
     a = ahocorasick.Automaton()
     cues = {d: "digit" for d in "0123456789"} | {"@": "at", "+": "plus", "://": "scheme"} | dict.fromkeys(("(at)", "[at]", "(AT)", "[AT]"), "hidden at")
     cues |= {w: "identifier" for cue in ACCOUNT_CUES for w in (cue, cue.capitalize(), cue.upper())} | {" " + w: "street" for w in STREETS}
+    cues |= dict.fromkeys(SECRETS, "secret")
     for w, kind in cues.items():
         a.add_word(w, (kind, len(w)))
     a.make_automaton()
@@ -99,6 +107,11 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
         elif cue == "plus":
             if (m := PHONE.match(text, last)) and 10 <= len(NOT_DIGIT.sub("", m[0])) <= 15:
                 out.append((*m.span(), "phone"))
+        elif cue == "secret":
+            start = last + 1 - size
+            if start >= account and not (start and text[start - 1].isalnum()) and (m := AFTER_PREFIX[text[start : last + 1]].match(text, last + 1)):
+                account = m.end()
+                out.append((start, account, "account"))
         elif cue == "scheme":
             if (m := USERINFO.match(text, last + 1)) and m.start() >= account:
                 account = m.end()
@@ -152,8 +165,8 @@ def find(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_address, n_account, redacted.
 
     Positions are code points, ends exclusive. `spans` also holds the kinds that the cues add: addresses (streets and
-    written-out mail addresses) and accounts (numbers and credentials after an identifier cue, checked account numbers,
-    user information before the host of a URL). One pass without a shuffle; memory is that of a batch.
+    written-out mail addresses) and accounts (numbers and credentials after an identifier cue, credentials with a known
+    prefix, private keys, checked account numbers, user information before the host of a URL). One pass without a shuffle; memory is that of a batch.
 
     Nulls: a null text is empty: no spans, the hash of an empty list, and a null `redacted`; a null doc_id is kept.
     Repeated rows each yield a row. An empty table yields no rows. Texts of any length are read whole."""
