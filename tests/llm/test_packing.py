@@ -91,3 +91,16 @@ def test_empty_and_reruns(spark):
 def test_little_padding(spark, sf_dir):
     rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), tokenizer_path()).collect()
     assert sum(r["length"] for r in rows) > 0.99 * 2048 * len({r["sequence_id"] for r in rows})
+
+
+def test_equal_rows_spread_over_buckets(spark):
+    df = spark.createDataFrame([(1, "a b c")] * 400, "doc_id long, text string").repartition(2)
+    rows = packing.pack(df, tokenizer_path(), bucket_pieces=40).collect()
+    assert len(rows) == 400 and len({r["sequence_id"] >> 32 for r in rows}) > 5
+
+
+def test_blank_runs_of_millions(spark):
+    texts = [" " * 1_500_000, "\n" * 1_500_000, " \n" * 600_000, " " * 1_000_000 + "x", "word " * 300_000]
+    ids = packing.ids_of(tokenizer_path())
+    for t in texts:
+        assert ids.encode(t).tolist() == ids.whole.encode(t, add_special_tokens=False).ids

@@ -9,6 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,14 +127,15 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
     """One row per piece of each document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     The ids of a whole text plus end_id are cut into full windows and a rest. Pieces are dealt by a hash of
-    (doc_id, start) into buckets of about bucket_pieces, and each bucket is packed by best-fit decreasing: only the last
+    (doc_id, start, number of the row in its task) into buckets of about bucket_pieces, and each bucket is packed by best-fit decreasing: only the last
     open windows of a bucket hold padding that a global packing would not. Each bucket fits one task whatever the input.
 
     Nulls: a null text is empty and yields one piece with end_id alone; a null doc_id is kept. Repeated rows are each
     packed. An empty table yields no rows. Other columns of docs are ignored. Very long texts have many pieces."""
 
     def tokenize(batches):
-        tokenizer, end = ids_of(tokenizer_path), np.array([end_id], "<u4")
+        tokenizer, end, n_pieces, base = ids_of(tokenizer_path), np.array([end_id], "<u4"), 0, TaskContext.get().partitionId() << 32
+        names = [c.split()[0] for c in PIECES.split(", ")]
         for b in batches:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -141,7 +143,9 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
                 n = len(ids)
                 out += [(doc, s, length, crc, n) for s, length, crc in pieces_of(ids, window)]
             cols = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            salt = np.arange(n_pieces, n_pieces + len(out)) + base
+            n_pieces += len(out)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(salt)], [*names, "salt"])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
@@ -149,6 +153,6 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
         pdf["sequence_id"], pdf["offset"] = seq + (pdf["bucket"].to_numpy(np.int64) << 32), off
         return pdf.drop(columns="bucket").astype({"doc_id": "Int64"})
 
-    pieces = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenize, PIECES), "pieces")
+    pieces = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenize, PIECES + ", salt long"), "pieces")
     buckets = max(1, -(-pieces.count() // bucket_pieces))
-    return pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(buckets))).groupBy("bucket").applyInPandas(fill, PACKED)
+    return pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "salt"), F.lit(buckets))).drop("salt").groupBy("bucket").applyInPandas(fill, PACKED)
