@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; set to a default only where it is unset, as in tests."""
+    """The shared folder of spark.checkpoint.dir; set to a default only where it is unset and the master is local, as in
+    tests. A cluster must name one: its machines don't share their own folders."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

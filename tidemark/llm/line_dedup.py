@@ -28,7 +28,7 @@ WORDS = tuple(f"w{i}" for i in range(BIT_WORDS))
 #: White space that parts words, beyond ASCII.
 OTHER_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x3001)) if c.isspace()) + "]")
 #: Lines whose band keys form one chunk, and keys that one shard compares.
-CHUNK_LINES, SHARD_KEYS = 75_000, 1_000_000
+CHUNK_LINES, SHARD_KEYS = 25_000, 400_000
 
 
 def spaced(x: str) -> bool:
@@ -353,7 +353,7 @@ def duplicate_lines(docs: DataFrame, k: int = 8, percent: int = 80) -> tuple[Dat
     roots = cut(components(links, "line-components"), "line-roots").withColumnRenamed("node", "of")
 
     placed = members.join(roots, F.col("node") == F.col("of"), "left").select("bucket", "a", F.col("node").alias("rep"), F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("bucket", "members")
     mixed = cut(placed.join(mixed, "bucket"), "line-mixed")
     if not mixed.isEmpty():
         beside = beside_first(mixed.select("a", "rep").distinct(), texts, sets)

@@ -161,7 +161,7 @@ def linked_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Da
     roots = cut(components(links), "roots")
 
     placed = members.join(roots, members["rep"] == roots["node"], "left").select("bucket", "a", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("bucket", "members")
     mixed = cut(placed.join(mixed, "bucket"), "mixed")
     whole = whole_sets(mixed.select("rep"), classes, docs, k)
     own = own_shingles(whole)

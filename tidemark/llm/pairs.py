@@ -16,6 +16,8 @@ from .common import cut
 #: Pairs and hashes that one step looks at together; a pair that has more stands alone.
 STEP_PAIRS, STEP_HASHES = 1 << 10, 300_000
 HASH_BITS = 53
+#: Members of a bucket that one task compares with others.
+BLOCK = 1000
 
 
 def from_bytes(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,17 +129,22 @@ def beside_first(pairs: DataFrame, whole: DataFrame, sets=from_bytes) -> DataFra
 def across(some: DataFrame, all_: DataFrame, percent: int, words: tuple[str, ...] = (), most: int = 0, free: str = "") -> DataFrame:
     """Pairs (a, b) of a bucket in different components that can be linked, by bounds on what they have in common:
     `common` of each (its size, or less), and the bits of beside_first(). Where `words` names columns of sketch bits, at
-    most `most` of these may differ, unless the column `free` is true on either side. The one side holds the members outside of the bucket's largest component, so that a
-    large group costs a comparison for each of them only."""
+    most `most` of these may differ, unless the column `free` is true on either side. `members` is the size of the bucket,
+    or more. The one side holds the members outside of the bucket's largest component, so that a large group costs a
+    comparison for each of them only."""
     x, y = some.select("bucket", *[F.col(c).alias(f"x_{c}") for c in all_.columns if c != "bucket"]), all_
 
     def enough(common):
         return (100 + percent) * common >= percent * (F.col("n") + F.col("x_n"))
 
     both = F.aggregate(F.zip_with("x_hits", "hits", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, v: t + v)
+    # Members of a large bucket meet in blocks, so that its comparisons spread over tasks.
+    blocks = F.ceil(F.col("members") / BLOCK)
+    x = x.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("x_members") / BLOCK) - 1))).drop("x_members")
+    y = y.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).drop("members")
     near = (F.col("x_root") != F.col("root")) & enough(F.least("x_common", "common"))
     if words:
         alike = sum((F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(w))) for w in words), F.lit(0)) <= most
         near &= alike | F.col(f"x_{free}") | F.col(free) if free else alike
     near &= enough(both + F.least("x_loose", "loose"))
-    return x.join(y, (x["bucket"] == y["bucket"]) & near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
+    return x.join(y, (x["bucket"] == y["bucket"]) & (x["block"] == y["block"]) & near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
