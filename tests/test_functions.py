@@ -71,6 +71,10 @@ def test_urls(spark):
     assert one(spark, urls.campaign_parts(F.col("x")), "a-b-2024_02-n-m").asDict() == {"initiative": "a", "goal": "b", "month": "2024_02", "name": "n-m"}
     df = spark.createDataFrame([("Twitter",), ("myspace",), (None,)], "source string")
     assert urls.unknown_values(df, "source").count() == 2
+    link = lambda n, c: urls.campaign_link(F.lit("http://e.org"), F.lit("email"), F.lit("email"), F.lit("ubi"), F.lit("goal"), F.lit(date(2024, 2, 1)), F.lit(n).cast("string"), F.lit(c).cast("string"))
+    assert one(spark, link("My Name", "A b"), "") == "http://e.org?utm_source=email&utm_medium=email&utm_campaign=ubi-goal-2024_02-my_name&utm_content=a_b"
+    assert one(spark, link("n", "x-y"), "") == "http://e.org?utm_source=email&utm_medium=email&utm_campaign=ubi-goal-2024_02-n"
+    assert [one(spark, link(n, None), "") for n in ("a-b", " ", None, "é")] == [None] * 4
     own = urls.vocabulary_of({"sources": [{"value": "myspace", "label": "M"}], "version": 1})
     assert own == {"source": ["myspace"]} and urls.unknown_values(df, "source", own["source"]).count() == 2
 

@@ -32,12 +32,22 @@ def test_paged_logs_reads_every_block_once(spark):
 
 
 def test_pages_stop_at_the_archive_and_stream_offsets_advance():
-    options = {"transport": "test_sources:fetch", "finality": "5"}
+    options = {"transport": "test_sources:fetch", "finality": "5", "blocks_per_partition": "40"}
     assert len(list(paged.pages(options, 0, 200))) == 32
     r = paged.LogStreamReader(options)
-    rows, end = r.read(r.initialOffset())
-    assert end == {"block": 91} and len(list(rows)) == 31
-    assert [x[1] for x in r.readBetweenOffsets({"block": 30}, {"block": 37})] == [30, 33, 36]
+    parts = r.partitions(r.initialOffset(), r.latestOffset())
+    assert [(p.start, p.end) for p in parts] == [(0, 40), (40, 80), (80, 91)]
+    assert sum(len(list(r.read(p))) for p in parts) == 31
+    assert [x[1] for p in r.partitions({"block": 30}, {"block": 37}) for x in r.read(p)] == [30, 33, 36]
+
+
+def test_paged_logs_as_a_stream(spark, tmp_path):
+    spark.dataSource.register(paged.PagedLogs)
+    for _ in range(2):  # the second run finds nothing new
+        df = spark.readStream.format("paged_logs").option("transport", "test_sources:fetch").option("finality", 5).option("blocks_per_partition", 20).load()
+        query = df.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert sorted(r["block_number"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [b for b in range(91) if b % 3 == 0]
 
 
 def test_retries_pause_and_give_up():

@@ -40,6 +40,14 @@ def tagged_url(url: Column, source: Column, medium: Column, campaign_: Column, c
     return F.when(F.lower(url).rlike(r"^https?://[^\s/]+"), F.concat(base, F.when(F.contains(base, F.lit("?")), "&").otherwise("?"), pairs, tail))
 
 
+def campaign_link(url: Column, source: Column, medium: Column, initiative: Column, goal: Column, day: Column, name: Column, content: Column) -> Column:
+    """The tagged URL of a campaign; null if a part but content is missing, the name isn't of a-z, 0-9 and _ after it is
+    normalized, or the URL isn't http or https. Content that isn't of these characters is left out."""
+    given = lambda c: F.length(F.coalesce(slug(c), F.lit(""))) > 0
+    complete = given(source) & given(medium) & given(initiative) & given(goal) & given(name) & day.isNotNull() & slug(name).rlike(NAME)
+    return F.when(complete, tagged_url(url, source, medium, campaign(initiative, goal, day, name), F.when(slug(content).rlike(NAME), content)))
+
+
 def query_value(url: Column, key: str) -> Column:
     """The value of a parameter of a URL; null if the URL or the parameter isn't there."""
     return F.try_parse_url(url, F.lit("QUERY"), F.lit(key))

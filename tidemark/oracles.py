@@ -40,7 +40,7 @@ VIEWS = {
         CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS cents, o_orderstatus <> 'F' AS success, CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 'delegatecall' WHEN '5-LOW' THEN 'staticcall' ELSE 'call' END AS call_type FROM orders)
         WHERE sender = 'c7' AND cents > 0 AND success AND (call_type NOT IN ('delegatecall','staticcall') OR call_type IS NULL)""",
     "fv": "SELECT f.*, CAST(cents AS HUGEINT) * CAST(round(coalesce(price, 0) * 10000) AS BIGINT) AS usd6 FROM fo f LEFT JOIN lpr USING (day)",
-    "lc": "SELECT o_orderdate AS ts, '0xw' || (o_custkey % 150) || '-' || (o_orderkey % 7) AS claimer, CASE WHEN o_orderkey % 5 = 0 THEN '0xother' ELSE '0xubi' END AS contract_address FROM orders WHERE o_orderkey % 3 = 0",
+    "lc": "SELECT o_orderdate AS ts, '0xw' || (o_custkey % 150) || '-' || (o_orderkey % 7) AS claimer, CASE WHEN o_orderkey % 5 = 0 THEN '0xother' ELSE '0xubi' END AS contract_address FROM orders WHERE o_orderstatus <> 'P'",
     "mf0": """SELECT CAST(block_timestamp AS DATE) AS date, * FROM ev WHERE block_timestamp < DATE '2024-01-31'""",
     "mf1": """SELECT date, network, 'dau' AS m, CAST(count(DISTINCT wallet) AS DOUBLE) AS value FROM mf0 WHERE event_type IN ('view','click') GROUP BY ALL
         UNION ALL SELECT date, network, 'new_claimers', CAST(count(*) AS DOUBLE) FROM (SELECT network, wallet, min(date) AS date FROM mf0 WHERE event_type IN ('view','click') GROUP BY ALL) GROUP BY ALL
@@ -147,12 +147,13 @@ SQL = {
     "coverage_report": sql(f"SELECT e.c AS chain, e.k AS metric_key, CASE WHEN EXISTS (SELECT 1 FROM mf WHERE mf.chain = e.c AND mf.metric_key = e.k AND mf.date >= DATE '2024-01-24') THEN 'present' ELSE 'missing' END AS status FROM (VALUES {_EXPECTED}) e(c, k)", "mf"),
     "backfill_preview": sql(f"""SELECT chain, metric_key, last_date, start_date, CAST(greatest(0, date_diff('day', start_date, DATE '2024-01-30') + 1) AS INTEGER) AS days_needed FROM (SELECT e.c AS chain, e.k AS metric_key, last_date, CASE WHEN e.c = 'XDC' THEN greatest(coalesce(last_date + 1, DATE '2024-01-05'), DATE '2024-01-05') ELSE coalesce(last_date + 1, DATE '2024-01-30' - 90) END AS start_date FROM (VALUES {_EXPECTED}) e(c, k) LEFT JOIN (SELECT chain, metric_key, max(date) AS last_date FROM mf GROUP BY ALL) m ON m.chain = e.c AND m.metric_key = e.k)""", "mf"),
     "bounty_split": sql("""SELECT tx_hash, log_index, inviter, invitee, CAST(i AS DOUBLE) / 100 AS inviter_paid_g, CAST(t AS DOUBLE) / 100 AS total_paid_g, CAST(n AS DOUBLE) / 100 AS invitee_paid_g, CAST(greatest(0, t - i - n) AS DOUBLE) / 100 AS campaign_returned_g FROM (SELECT b.tx_hash, b.log_index, b.inviter, b.invitee, coalesce(sum(cents) FILTER (recipient = inviter), 0) AS i, coalesce(sum(cents) FILTER (recipient = invitee AND recipient <> inviter), 0) AS n, coalesce(sum(cents), 0) AS t
-        FROM (SELECT '0x' || o_orderkey AS tx_hash, o_orderkey % 5 AS log_index, 'c' || (o_orderkey % 100) AS inviter, 'c' || (o_custkey % 100) AS invitee FROM orders WHERE o_orderkey % 4 = 0) b LEFT JOIN tr USING (tx_hash) GROUP BY ALL)""", "tr"),
+        FROM (SELECT '0x' || o_orderkey AS tx_hash, o_orderkey % 5 AS log_index, 'c' || (o_orderkey % 100) AS inviter, 'c' || (o_custkey % 100) AS invitee FROM orders WHERE o_orderpriority = '3-MEDIUM') b LEFT JOIN tr USING (tx_hash) GROUP BY ALL)""", "tr"),
     "raw_dedup": "SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY ALL",
     "freshness": sql("SELECT max(ingested_at) AS max_loaded_at, date_diff('microsecond', max(ingested_at), TIMESTAMP '2024-02-01 12:00:00') / 3600000000.0 AS age_hours, CASE WHEN date_diff('microsecond', max(ingested_at), TIMESTAMP '2024-02-01 12:00:00') / 3600000000.0 > 72 THEN 'error' WHEN date_diff('microsecond', max(ingested_at), TIMESTAMP '2024-02-01 12:00:00') / 3600000000.0 > 36 THEN 'warn' ELSE 'pass' END AS status FROM ev WHERE event_type IN ('view', 'click')", "ev"),
     "cursor": sql("SELECT network, max(block_number) AS from_block FROM cl GROUP BY 1", "cl"),
     "final_blocks": sql("SELECT network, greatest(0, max(block_number) - CASE network WHEN 'xdc' THEN 15 WHEN 'celo' THEN 64 ELSE 20 END) AS final_block FROM ev GROUP BY 1", "ev"),
     "utm_build": "SELECT page_id, CASE WHEN regexp_matches(url, '^https?://') THEN regexp_extract(url, '^([^#]*)', 1) || CASE WHEN contains(regexp_extract(url, '^([^#]*)', 1), '?') THEN '&' ELSE '?' END || 'utm_source=twitter&utm_medium=social_post&utm_campaign=spring-awareness-2024_01-p' || page_id || regexp_extract(url, '(#.*)$', 1) END AS tagged FROM pages",
+    "utm_links": "SELECT page_id, CASE WHEN regexp_matches(url, '^https?://') AND page_id % 10 < 8 THEN regexp_extract(url, '^([^#]*)', 1) || CASE WHEN contains(regexp_extract(url, '^([^#]*)', 1), '?') THEN '&' ELSE '?' END || 'utm_source=twitter&utm_medium=social&utm_campaign=ubi-awareness-2024_01-p_' || page_id || CASE WHEN page_id % 2 = 0 THEN '&utm_content=c' || page_id ELSE '' END || regexp_extract(url, '(#.*)$', 1) END AS link FROM pages",
     "utm_validate": "SELECT page_id, nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, coalesce(nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') IN ('x', 'y'), false) AS known FROM pages",
 }
 SQL["claim_events"] = SQL["stg_claims"]

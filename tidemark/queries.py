@@ -77,6 +77,15 @@ def utm_build(s: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", urls.tagged_url(F.col("url"), F.lit("Twitter"), F.lit("social  post"), tag, F.lit("")).alias("tagged"))
 
 
+def utm_links(s: SparkSession, d: str) -> DataFrame:
+    """Links of named campaigns: names with a hyphen, and empty ones, give none; content with one is left out."""
+    p = sample.read(s, d, "pages")
+    i = F.col("page_id")
+    name = F.when(i % 10 < 8, F.concat(F.lit(" P "), i)).when(i % 10 == 8, F.concat(F.lit("p-"), i)).otherwise("")
+    content = F.concat(F.when(i % 2 == 0, "C").otherwise("c-"), i)
+    return p.select("page_id", urls.campaign_link(F.col("url"), F.lit("Twitter"), F.lit("social"), F.lit("ubi"), F.lit("awareness"), F.lit(date(2024, 1, 31)), name, content).alias("link"))
+
+
 def utm_validate(s: SparkSession, d: str) -> DataFrame:
     p = sample.read(s, d, "pages").select("page_id", urls.query_value(F.col("url"), "ref").alias("ref"), urls.query_value(F.col("url"), "page").alias("page"))
     unknown = urls.unknown_values(p, "ref", ["x", "y"]).select("page_id", F.lit(False).alias("known"))
@@ -169,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "dq_tests": dq_tests,
     "health": health,
     "utm_build": utm_build,
+    "utm_links": utm_links,
     "utm_validate": utm_validate,
     "stream_ingest": ingest.sample_ingest,
 }

@@ -10,7 +10,7 @@ import importlib
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
 def transport_of(options: dict) -> Callable:
@@ -47,35 +47,43 @@ class BlockRange(InputPartition):
         self.start, self.end = start, end
 
 
+def ranges(first: int, last: int, options: dict) -> list[BlockRange]:
+    """Ranges of blocks_per_partition blocks, each read by a task of its own."""
+    step = max(1, int(options.get("blocks_per_partition", 10_000)))
+    return [BlockRange(a, min(a + step, last)) for a in range(first, last, step)] or [BlockRange(first, first)]
+
+
 class LogReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)
 
     def partitions(self) -> list[BlockRange]:
-        first, last = int(self.options.get("from_block", 0)), int(self.options["to_block"])
-        step = max(1, int(self.options.get("blocks_per_partition", 10_000)))
-        return [BlockRange(a, min(a + step, last)) for a in range(first, last, step)] or [BlockRange(first, first)]
+        return ranges(int(self.options.get("from_block", 0)), int(self.options["to_block"]), self.options)
 
     def read(self, partition: BlockRange) -> Iterator[tuple]:
         return pages(self.options, partition.start, partition.end)
 
 
-class LogStreamReader(SimpleDataSourceStreamReader):
-    """Offsets are blocks; each micro-batch is the next step of blocks behind the tip less the finality margin."""
+class LogStreamReader(DataSourceStreamReader):
+    """Offsets are blocks; a micro-batch holds the blocks up to the tip less the finality margin, in ranges that tasks
+    read in parallel. The driver only asks for the tip."""
 
     def __init__(self, options: dict):
         self.options = dict(options)
+        self.first = int(self.options.get("from_block", 0))
 
     def initialOffset(self) -> dict:
-        return {"block": int(self.options.get("from_block", 0))}
+        return {"block": self.first}
+
+    def latestOffset(self) -> dict:
+        _, _, height = with_retries(lambda: transport_of(self.options)(self.first, self.first, self.options), int(self.options.get("attempts", 3)))
+        return {"block": max(self.first, height - int(self.options.get("finality", 0)) + 1)}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        _, _, height = transport_of(self.options)(start["block"], start["block"], self.options)
-        last = max(start["block"], min(height - int(self.options.get("finality", 0)) + 1, start["block"] + int(self.options.get("blocks_per_batch", 10_000))))
-        return iter(list(pages(self.options, start["block"], last))), {"block": last}
+    def partitions(self, start: dict, end: dict) -> list[BlockRange]:
+        return ranges(start["block"], end["block"], self.options)
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return pages(self.options, start["block"], end["block"])
+    def read(self, partition: BlockRange) -> Iterator[tuple]:
+        return pages(self.options, partition.start, partition.end)
 
 
 class PagedLogs(DataSource):
@@ -91,5 +99,5 @@ class PagedLogs(DataSource):
     def reader(self, schema) -> LogReader:
         return LogReader(self.options)
 
-    def simpleStreamReader(self, schema) -> LogStreamReader:
+    def streamReader(self, schema) -> LogStreamReader:
         return LogStreamReader(self.options)

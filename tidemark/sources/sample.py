@@ -115,7 +115,7 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims in the time of the orders, for queries that need both."""
-    o = read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    o = read(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
     return o.select(F.col("o_orderdate").alias("block_timestamp"), F.concat(F.lit("0xw"), F.col("o_custkey") % 150, F.lit("-"), F.col("o_orderkey") % 7).alias("claimer"), F.when(F.col("o_orderkey") % 5 == 0, "0xother").otherwise(UBI).alias("contract_address"))
 
 
@@ -163,7 +163,7 @@ def invite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+    o = read(spark, sf_dir, "orders").where("o_orderpriority = '3-MEDIUM'")
     return o.select(F.concat(F.lit("0x"), F.col("o_orderkey")).alias("tx_hash"), (F.col("o_orderkey") % 5).alias("log_index"), F.concat(F.lit("c"), F.col("o_orderkey") % 100).alias("inviter"), F.concat(F.lit("c"), F.col("o_custkey") % 100).alias("invitee"))
 
 
