@@ -24,6 +24,12 @@ def scale_raw(raw: Column, decimals: int) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+$"), F.concat(text, F.lit(f"E-{decimals}")).try_cast(AMOUNT))
 
 
+def scale_by(raw: Column, decimals: Column) -> Column:
+    """As scale_raw, with the decimals of each row."""
+    text = F.trim(raw.cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), F.concat(text, F.lit("E-"), decimals.cast("string")).try_cast(AMOUNT))
+
+
 def scale_number(value: Column, decimals: int) -> Column:
     """As scale_raw, of a whole number."""
     return scale_raw(value.cast("decimal(38,0)"), decimals)

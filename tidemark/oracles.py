@@ -239,3 +239,40 @@ def _reports() -> dict[str, str]:
 
 
 SQL |= _reports()
+
+
+def _run() -> dict[str, str]:
+    """The run of all adapters: what each fetches by the SQL of its plan, then the computed metrics on a row a day."""
+    days = {"active_claimers": "day", "daily_claimers": "period_date", "lifetime_claim_p2p": "end_date", "p2p_transfers": "date", "ubi_daily_summary": "date"}
+    sources = {f"q_{n}": SQL[n] for n in days} | {"q_rolling": SQL["p2p_rolling"], "q_entities": SQL["facts_entities"], "q_price": SQL["daily_price"], "q_volume": SQL["reserve_volume"], "q_invites": SQL["invites_daily_long"]}
+    parts, cells = [], "SELECT {day} AS date, '{chain}' AS chain, '{key}' AS metric_key, CAST({column} AS DOUBLE) AS value, '{source}' AS source FROM {table}"
+    for m in METRICS.values():
+        n, c = m.spec.get("source"), m.spec.get("column")
+        if m.adapter == "Table":
+            table = "q_rolling" if n == "p2p_transfers" and c.endswith(("_7d", "_30d")) else f"q_{n}"
+            parts.append(cells.format(day=days[n], chain="CELO", key=m.key, column=c, source=n.upper(), table=table))
+    parts.append("SELECT date, chain, metric_key, value, source FROM q_entities")
+    parts.append(cells.format(day="day", chain="CELO", key="celo_gd_price", column="price", source="RESERVE", table="q_price"))
+    parts += [cells.format(day="day", chain="CELO", key=f"celo_reserve_{k}", column=f"{c} / 100", source="RESERVE", table="q_volume") for k, c in (("in", "amount_in"), ("out", "amount_out"), ("volume", "volume"))]
+    parts.append("SELECT date, 'XDC', metric_key, CAST(value AS DOUBLE), 'XDC_INVITES' FROM q_invites")
+    past = "ev WHERE CAST(block_timestamp AS DATE) <= DATE '2024-01-30'"
+    parts += [cells.format(day="DATE '2024-01-30'", chain=k[:4].strip("_").upper(), key=k, column=c, source="SUPPLY", table=f"(SELECT sum(cents) FILTER (event_type = 'error') / 100 AS e, sum(cents) FILTER (event_type = 'click') / 100 AS k, sum(cents) FILTER (event_type = 'signup') / 100 AS s FROM {past})") for k, c in (("eth_gd_total_supply", "900000000.0"), ("eth_gd_frozen_supply", "e"), ("fuse_gd_in_circulation", "k"), ("celo_gd_in_circulation", "s"))]
+    parts.append(f"SELECT CAST(block_timestamp AS DATE), 'XDC', 'xdc_gd_price', (count(*) % 50 + 1) / 10000, 'XDC_RESERVE' FROM {past} GROUP BY 1")
+    parts.append(f"SELECT CAST(block_timestamp AS DATE), 'XDC', 'xdc_reserve_liquidity_usd', sum(cents) / 100, 'XDC_RESERVE' FROM {past} AND event_type IN ('signup', 'error') GROUP BY 1")
+    usd = {m.key: m.spec["source"] for m in METRICS.values() if m.adapter == "Computed"}
+    eth = "eth_gd_total_supply - eth_gd_frozen_supply"
+    rules = {("XDC", "xdc_returning_claimers"): "CASE WHEN xdc_dau IS NOT NULL AND xdc_new_claimers IS NOT NULL THEN greatest(0.0, xdc_dau - xdc_new_claimers) END", ("ETH", "eth_gd_in_circulation"): eth, ("AGG", "agg_gd_in_circulation"): f"{eth} + fuse_gd_in_circulation + celo_gd_in_circulation + xdc_gd_in_circulation"}
+    rules |= {("XDC", k): f"CASE WHEN xdc_gd_price <> 0 THEN round(CAST({s} AS DECIMAL(24,4)) * CAST(xdc_gd_price AS DECIMAL(12,4)), 2) END" for k, s in usd.items()}
+    rules |= {("XDC", "gd_price_spread"): "xdc_gd_price - celo_gd_price", ("XDC", "xdc_reserve_backing_ratio"): "CASE WHEN xdc_gd_in_circulation > 0 THEN xdc_reserve_liquidity_usd / xdc_gd_in_circulation END", ("XDC", "xdc_daily_gd_minted"): "xdc_gd_claimed_1d"}
+    rules |= {("XDC", "xdc_reserve_growth_abs"): "xdc_reserve_liquidity_usd - (SELECT b.xdc_reserve_liquidity_usd FROM wide b WHERE b.date = wide.date - 1)"}
+    needs = sorted({*usd.values(), "xdc_dau", "xdc_new_claimers", "xdc_gd_price", "celo_gd_price", "eth_gd_total_supply", "eth_gd_frozen_supply", "fuse_gd_in_circulation", "celo_gd_in_circulation", "xdc_gd_in_circulation", "xdc_reserve_liquidity_usd", "xdc_gd_claimed_1d"})
+    wide = "SELECT date, " + ", ".join(f"max(value) FILTER (metric_key = '{k}') AS {k}" for k in needs) + " FROM fetched GROUP BY date"
+    derived = " UNION ALL ".join(f"SELECT date, '{chain}', '{key}', CAST({rule} AS DOUBLE), 'COMPUTED' FROM wide" for (chain, key), rule in rules.items())
+    fetched = f"SELECT date, chain, metric_key, {_ROUND} AS value, source FROM ({' UNION ALL '.join(parts)}) WHERE value IS NOT NULL"
+    rounded = f"SELECT * FROM fetched UNION ALL SELECT date, chain, metric_key, {_ROUND}, source FROM (SELECT * FROM ({derived}) t(date, chain, metric_key, value, source) WHERE value IS NOT NULL)"
+    due = "SELECT date, chain, metric_key, value, source FROM fetched WHERE chain = 'XDC' AND source IN ('ENTITIES', 'XDC_RESERVE') AND date >= DATE '2024-01-05' AND (date >= DATE '2024-01-20' OR metric_key = 'xdc_gd_price')"
+    views = sources | {"fetched": fetched, "wide": wide}
+    return {"facts_run": sql(rounded, "ev", more=views), "smart_backfill": sql(due, "ev", more=views)}
+
+
+SQL |= _run()

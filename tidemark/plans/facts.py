@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.amounts import scale_by
 from tidemark.functions.naming import base_metric
 from tidemark.operators.keyed import layered, new_keys_only
 from tidemark.operators.series import carry_forward, rolling_sum, spine_of
@@ -27,10 +28,10 @@ def to_long(daily: DataFrame, chain: str, columns: dict[str, str], source: str,
     return facts(wide.unpivot(["date"], list(columns), "metric_key", "value").withColumn("chain", F.lit(chain)), source)
 
 
-def table_metrics(source: str, daily: DataFrame) -> DataFrame:
+def table_metrics(source: str, daily: DataFrame, day: str = "date") -> DataFrame:
     """Facts of all registered metrics that are columns of a plan, taken by name."""
     columns = {m.key: m.spec["column"] for m in METRICS.values() if m.spec.get("source") == source and m.spec["column"] in daily.columns}
-    return to_long(daily, "CELO", columns, source.upper())
+    return to_long(daily, "CELO", columns, source.upper(), day)
 
 
 def wide(values: DataFrame, *keys: str) -> DataFrame:
@@ -176,9 +177,8 @@ def rolling_sum_nd(daily: DataFrame, days: int, by: tuple[str, ...] = ()) -> Dat
 
 
 def collateral(balances: DataFrame) -> DataFrame:
-    """US dollars in a reserve: token balances by their decimals, added up. Balances: date, raw, decimals."""
-    value = F.col("raw").cast("decimal(38,0)") / F.pow(F.lit(10.0), F.col("decimals"))
-    return balances.groupBy("date").agg(F.sum(value.cast("double")).alias("value"))
+    """US dollars in a reserve: token balances by their decimals, added up exactly. Balances: date, raw, decimals."""
+    return balances.groupBy("date").agg(F.sum(scale_by(F.col("raw"), F.col("decimals"))).cast("double").alias("value"))
 
 
 def supply_or(value: Column, fallback: float) -> Column:

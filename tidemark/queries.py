@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls
 from tidemark.operators import checks
 from tidemark.operators.keyed import dedup
-from tidemark.plans import claims, entities, facts, faucet, invites, transfers, warehouse
+from tidemark.plans import claims, entities, facts, faucet, invites, run, transfers, warehouse
 from tidemark.sources import contracts, ledger, sample
 from tidemark.sources.sample import AS_OF, FAUCET, LEDGER_AS_OF, LEDGER_NOW, UBI
 from tidemark.streaming import ingest
@@ -124,6 +124,45 @@ def ubi(s: SparkSession, d: str) -> DataFrame:
     return claims.ubi_daily_summary(sample.claims(s, d), sample.event_prices(s, d), UBI, AS_OF, 10)
 
 
+#: The supply that stands in where the first chain's explorer gives none.
+SUPPLY_FALLBACK = {"eth_gd_total_supply": 900_000_000.0}
+
+
+def adapters(s: SparkSession, d: str) -> list[run.Adapter]:
+    """All adapters of the registry over the sample inputs."""
+    upstream = run.Upstream({"p2p": lambda: p2p(s, d)})
+    supplies, balances, prices = sample.snapshots(s, d)
+
+    def tables(_: DataFrame) -> DataFrame:
+        lifetime = QUERIES["lifetime_claim_p2p"](s, d)
+        parts = [("active_claimers", QUERIES["active_claimers"](s, d), "day"), ("daily_claimers", QUERIES["daily_claimers"](s, d), "period_date"), ("lifetime_claim_p2p", lifetime, "end_date"), ("p2p_transfers", upstream["p2p"], "date"), ("p2p_transfers", transfers.with_rolling(upstream["p2p"]), "date"), ("ubi_daily_summary", ubi(s, d), "date")]
+        out = run.nothing(s)
+        for part in parts:
+            out = out.unionByName(facts.table_metrics(*part))
+        return out
+
+    fetched = [
+        run.Adapter("Table", tables), run.Adapter("Subgraph", lambda _: entities.entity_facts(*sample.entities(s, d), AS_OF, GENESIS["XDC"])),
+        run.Adapter("Reserve", lambda _: run.reserve(sample.event_prices(s, d), swaps(s, d).withColumn("amount", F.col("amount").cast("double") / 100))),
+        run.Adapter("Supply", lambda _: run.supply(supplies, AS_OF, SUPPLY_FALLBACK)), run.Adapter("XdcReserve", lambda _: run.other_reserve(prices, balances)),
+        run.Adapter("XdcInvites", lambda _: run.invite_facts(invites.invites_daily_long(sample.invite_rows(s, d), AS_OF))),
+    ]
+    return [*fetched, run.computed_adapter(a.name for a in fetched)]
+
+
+def facts_run(s: SparkSession, d: str) -> DataFrame:
+    """One run of all adapters: every registered metric but those that a sample gives no input for."""
+    return run.run_facts(s, adapters(s, d))[0]
+
+
+def smart_backfill(s: SparkSession, d: str) -> DataFrame:
+    """What a run adds to a store that lacks the odd days of its last week and some metrics altogether."""
+    rows = [a for a in adapters(s, d) if a.name in ("Subgraph", "XdcReserve")]
+    whole = run.run_facts(s, rows)[0]
+    store = whole.where("chain = 'XDC' and metric_key <> 'xdc_gd_price' and date < date'2024-01-20'")
+    return run.smart_backfill(s, store, lambda since: (whole.where(F.col("date") >= F.lit(since)), []), AS_OF, GENESIS)[0]
+
+
 QUERIES: dict[str, Query] = {
     "stg_claims": lambda s, d: plain(staged(s, d)),
     "stg_invites": stg_invites,
@@ -156,6 +195,8 @@ QUERIES: dict[str, Query] = {
     "activity_share": lambda s, d: faucet.activity_share(sample.transactions(s, d), sample.traces(s, d), sample.ledger_claims(s, d), sample.transfers(s, d), FAUCET, UBI, LEDGER_NOW),
     "facts_build": build,
     "facts_agg": lambda s, d: facts.facts_agg(build(s, d)),
+    "facts_run": facts_run,
+    "smart_backfill": smart_backfill,
     "facts_append": lambda s, d: facts.facts_append(build(s, d), stored(s, d)),
     "rolling_sum_nd": sparse_dau,
     "returning_claimers": lambda s, d: facts.returning_claimers(sample.metric_facts(s, d)),

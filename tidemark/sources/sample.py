@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,3 +196,16 @@ def entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     total = day.agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
     tx = tx.unionByName(total.select(F.lit("aggregated").alias("id"), text(F.col("n")).alias("transactionsCountClean"), wei(F.col("c")).alias("transactionsValueClean"), wei(F.col("c")).alias("totalInCirculation")))
     return daily, tx, total.select(text(F.col("n")).alias("uniqueClaimers"), text(F.col("n")).alias("totalClaims"), wei(F.col("c")).alias("totalUBIDistributed"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What calls to contracts give, raw: supplies (that of one chain wasn't fetched), reserve balances, prices."""
+    yesterday = AS_OF - timedelta(days=1)
+    e = events(spark, sf_dir).withColumn("date", F.to_date("block_timestamp")).where(F.col("date") <= F.lit(yesterday))
+    wei = lambda c, n: F.concat(c.cast("string"), F.lit("0" * n))
+    total = e.agg(*[F.sum(F.when(F.col("event_type") == k, F.col("cents"))).alias(k) for k in ("view", "error", "click", "signup")])
+    cells = [("eth_gd_frozen_supply", F.col("error").cast("string"), 2), ("fuse_gd_in_circulation", F.col("click").cast("string"), 2), ("celo_gd_in_circulation", wei(F.col("signup"), 16), 18), ("eth_gd_total_supply", F.lit(None).cast("string"), 2)]
+    supplies = total.select(F.inline(F.array(*[F.struct(F.lit(k).alias("metric_key"), raw.alias("raw"), F.lit(d).alias("decimals")) for k, raw, d in cells])))
+    day = e.groupBy("date").agg(F.sum(F.when(F.col("event_type") == "signup", F.col("cents"))).alias("a"), F.sum(F.when(F.col("event_type") == "error", F.col("cents"))).alias("b"), F.count("*").alias("n"))
+    balances = day.select("date", F.inline(F.array(F.struct(wei(F.col("a"), 4).alias("raw"), F.lit(6).alias("decimals")), F.struct(wei(F.col("b"), 16).alias("raw"), F.lit(18).alias("decimals")))))
+    return supplies, balances, day.select("date", F.concat(F.col("n") % 50 + 1, F.lit("00")).alias("raw"), F.lit(6).alias("decimals"))
