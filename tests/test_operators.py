@@ -85,3 +85,29 @@ def test_checks(spark):
     ages = [checks.freshness(t, "at", now).first()["status"] for now in (datetime(2024, 1, 2), datetime(2024, 1, 3), datetime(2024, 1, 5))]
     assert ages == ["pass", "warn", "error"]
     assert checks.freshness(t.limit(0), "at", datetime(2024, 1, 1)).first()["status"] == "error"
+
+
+def test_rolling_distinct_against_counting(spark):
+    import random
+    from datetime import date, timedelta
+
+    from tidemark.operators.series import rolling_distinct
+
+    r, d0 = random.Random(5), date(2024, 1, 1)
+    rows = {(r.choice("ab"), d0 + timedelta(days=r.randrange(40)), r.randrange(9)) for _ in range(60)}
+    df = spark.createDataFrame([*rows, ("a", d0, None)], "g string, d date, k long")
+    for days in (1, 3, 7):
+        got = {(x["g"], x["d"]): x["n"] for x in rolling_distinct(df, "d", "k", days, "n", by=("g",)).collect()}
+        want = {(g, d0 + timedelta(days=i)): len({k for h, d, k in rows if h == g and 0 <= i - (d - d0).days < days}) for g in "ab" for i in range(60)}
+        assert got == {k: n for k, n in want.items() if n}
+    lo, hi = d0 + timedelta(days=10), d0 + timedelta(days=20)
+    part = rolling_distinct(df, "d", "k", 7, "n", lo, hi, by=("g",)).collect()
+    assert {(x["g"], x["d"]): x["n"] for x in part} == {k: n for k, n in want.items() if n and lo <= k[1] <= hi}
+
+
+def test_words_of_any_length_as_decimal_digits(spark):
+    from tidemark.functions.amounts import uint256_text
+
+    numbers = [0, 1, 15, 2**60 - 1, 2**60, 2**120 - 1, 2**120, 2**124 - 1, 2**124, 2**128, 2**256 - 1]
+    df = spark.createDataFrame([(f"0x{n:064x}", str(n)) for n in numbers] + [(f"{n:X}", str(n)) for n in numbers] + [("0x", None), ("xyz", None), (None, None)], "w string, n string")
+    assert [(r["w"], r["x"]) for r in df.select("w", uint256_text(df["w"]).alias("x"), "n").collect()] == [(r["w"], r["n"]) for r in df.collect()]

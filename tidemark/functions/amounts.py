@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,10 +57,19 @@ def safe_divide(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def uint256_text(word: Column) -> Column:
+    """Decimal digits of a hexadecimal number of up to 256 bits, with or without 0x. Null if it isn't one. Up to 124 bits
+    are added up from three parts as decimals; only longer ones, more than any built-in type holds, go to Python."""
+    digits = F.regexp_replace(F.lower(word), "^0x", "")
+    short = digits.rlike("^[0-9a-f]+$") & (F.length(F.ltrim(digits, F.lit("0"))) <= 31)
+    padded = F.lpad(F.ltrim(digits, F.lit("0")), 31, "0")
+    part = lambda start, n: F.conv(F.substring(padded, start, n), 16, 10).cast("decimal(19,0)")
+    value = part(1, 1).cast("decimal(2,0)") * F.lit(Decimal(2**120)) + part(2, 15) * F.lit(Decimal(2**60)) + part(17, 15)
+    return F.coalesce(F.when(short, value.cast("string")), _long_uint(F.when(~short, word)))
+
+
 @F.pandas_udf(StringType())
-def uint256_text(word: pd.Series) -> pd.Series:
-    """Decimal digits of a hexadecimal number of up to 256 bits, with or without 0x: more than any built-in cast holds.
-    Null if it isn't one."""
+def _long_uint(word: pd.Series) -> pd.Series:
 
     def one(x: str | None) -> str | None:
         try:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +22,26 @@ def spine_of(df: DataFrame, day: str, *keys: str) -> DataFrame:
 
 
 def rolling_distinct(rows: DataFrame, day: str, key: str, days: int, name: str, first: date | None = None, last: date | None = None, by: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct keys in the `days` days up to each day, with only hash joins' cousins: each distinct (day, key) is put on
-    every day it counts for, and these are counted. Restricting the days to first .. last comes before the count."""
-    seen = rows.select(*by, day, key).distinct()
-    each = seen.select(*by, F.explode(F.sequence(day, F.date_add(day, days - 1), F.expr("interval 1 day"))).alias(day), key)
+    """Distinct keys in the `days` days up to each day, on the days that count any. Null keys count nowhere.
+
+    A key's days, each good for `days` days, join into intervals; an interval is +1 where it begins and -1 after its end,
+    and the sums of these by day run up to the count. So a key has two rows an interval, however long the window is, and
+    rows that no day from first to last can count are not read."""
+    rows = rows.where(F.col(key).isNotNull())
     if first is not None:
-        each = each.where(F.col(day) >= F.lit(first))
+        rows = rows.where(F.col(day) >= F.lit(first - timedelta(days=days - 1)))
     if last is not None:
-        each = each.where(F.col(day) <= F.lit(last))
-    return each.groupBy(*by, day).agg(F.countDistinct(key).alias(name))
+        rows = rows.where(F.col(day) <= F.lit(last))
+    w = Window.partitionBy(*by, key).orderBy(day)
+    seen = rows.select(*by, day, key).distinct().withColumns({"__gap": F.datediff(day, F.lag(day).over(w)), "__next": F.datediff(F.lead(day).over(w), day)})
+    edge = lambda gap, at, step: F.when(F.col(gap).isNull() | (F.col(gap) > days), F.struct(at.alias(day), F.lit(step).alias("__step")))
+    edges = seen.select(*by, F.explode(F.array(edge("__gap", F.col(day), 1), edge("__next", F.date_add(day, days), -1))).alias("__e")).where("__e is not null")
+    daily = edges.select(*by, "__e.*").groupBy(*by, day).agg(F.sum("__step").alias("__step"))
+    dense = spine_of(daily, day, *by).join(daily, [*by, day], "left")
+    each = dense.select(*by, day, F.sum(F.coalesce("__step", F.lit(0))).over(over_days(by, day)).alias(name)).where(F.col(name) > 0)
+    if first is not None:
+        each = each.where(F.col(day) >= F.lit(first))
+    return each if last is None else each.where(F.col(day) <= F.lit(last))
 
 
 def over_days(by: tuple[str, ...], day: str, before: int | None = None) -> Window:

@@ -75,7 +75,7 @@ def run_facts(spark: SparkSession, adapters: Iterable[Adapter], history: DataFra
             problem = ("warn", "skipped: time is over")
         else:
             try:
-                rows = f.with_decimals(a.fetch(f.known(done, history)).select(*f.KEY, "value", "source")).persist(StorageLevel.DISK_ONLY)
+                rows = f.with_decimals(a.fetch(f.known(done, history)).select(*f.KEY, "value", "source")).repartition("date").persist(StorageLevel.DISK_ONLY)
                 counts = {(r["chain"], r["metric_key"]): r["n"] for r in rows.groupBy("chain", "metric_key").agg(F.count("*").alias("n")).collect()}  # as many as are registered
                 done = done.unionByName(rows)
             except Exception as e:  # noqa: BLE001 - what it was is in the health rows

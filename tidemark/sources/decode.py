@@ -30,16 +30,20 @@ def argument(where: str, i: int, kind: str) -> Column:
 
 def decode(logs: DataFrame, events: list[Event], *keep: str | Column) -> DataFrame:
     """Rows of the known events, all their arguments as columns (null where an event has none of that name). Logs of
-    unknown topics go."""
-    names = dict.fromkeys(a for e in events for a in e.arguments)
-    topic = F.lower("topic0")
-    out = None
-    for e in events:
-        columns = [argument(*e.arguments[a]).alias(a) if a in e.arguments else F.lit(None).cast("string").alias(a) for a in names]
-        part = logs.where(topic == e.topic0.lower()).select(*keep, F.lit(e.name).alias("event_name"), *columns)
-        part = part.withColumns({a: F.col(a).cast("string") for a in names})
-        out = part if out is None else out.unionByName(part)
-    return out
+    unknown topics go. The logs are read once, however many events there are."""
+    topic, names = F.lower("topic0"), dict.fromkeys(a for e in events for a in e.arguments)
+    known = logs.where(topic.isin(*[e.topic0.lower() for e in events]))
+
+    def value(a: str) -> Column:
+        """The argument of whichever event has it; events that hold it in one place share the expression."""
+        places: dict[tuple[str, int, str], list[str]] = {}
+        for e in events:
+            if a in e.arguments:
+                places.setdefault(e.arguments[a], []).append(e.topic0.lower())
+        return F.coalesce(*[F.when(topic.isin(*topics), argument(*at).cast("string")) for at, topics in places.items()])
+
+    name = F.coalesce(*[F.when(topic == e.topic0.lower(), e.name) for e in events])
+    return known.select(*keep, name.alias("event_name"), *[value(a).alias(a) for a in names])
 
 
 def with_context(logs: DataFrame, blocks: DataFrame, transactions: DataFrame) -> DataFrame:
