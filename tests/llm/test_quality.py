@@ -116,3 +116,57 @@ def test_labels_of_unknown_and_repeated_ids(spark):
     assert quality.judge(twice, labels).count() == 330
     clash = labels.withColumns({"text": F.lit("x"), "n_words": F.lit(1), "kept": F.lit(True)})
     assert key(quality.judge(docs, clash)) == key(quality.judge(docs, labels))
+
+
+def many(spark, n, copies=0):
+    """n short labelled documents of all sorts, the first ones `copies` times more; a tenth is bad and has more symbols."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(n):
+        ws = [w + rng.choice(["", "", "", "7", "A", "\n", "\nab\nab"]) for w in sentence(rng, rng.randint(10, 25)).split()]
+        rows.append((i, " ".join(w + rng.choice("#$%") * (rng.random() < (0.1 if i % 10 == 9 else 0.02)) for w in ws)))
+    labels = spark.createDataFrame([(i, int(i % 10 != 9)) for i in range(n)], "doc_id long, quality int")
+    return documents(spark, rows + rows[:50] * copies), labels
+
+
+def test_threshold_comes_from_all_labelled_rows(spark):
+    docs, labels = many(spark, 6500)
+    got = quality.judge(docs, labels, good_loss=0.05).join(labels, "doc_id").where("not base_failed").select("anomaly", "quality", "kept").collect()
+    good = sorted(r["anomaly"] for r in got if r["quality"] == 1)
+    most = good[int(np.ceil(0.95 * len(good))) - 1]
+    assert len(got) > 5500 and sum(not r["kept"] for r in got if r["quality"] == 1) <= 0.05 * len(good)
+    limit = (most + min((r["anomaly"] for r in got if r["quality"] == 0 and r["anomaly"] > most), default=most)) / 2
+    assert all(r["kept"] == (r["anomaly"] <= limit) for r in got)
+
+
+def test_fit_equals_the_plain_verdict_of_all_rows(spark):
+    docs, labels = many(spark, 700, copies=6)
+    counts = quality.count(docs, "counts")
+    rows = sorted(map(tuple, quality.labelled(counts, labels, None).select("bucket", "upto", "quality", "m", *quality.X).collect()))
+    assert {r[3] for r in rows} == {1, 7}
+    every = np.repeat(np.array([r[4:] for r in rows]), [r[3] for r in rows], axis=0)
+    good = np.repeat(np.array([r[2] for r in rows]) == 1, [r[3] for r in rows])
+    plain = quality.IsolationForest(every[good], every.min(0), every.max(0))
+    got = quality.fit(counts, labels, None, 0.01).value
+    assert all((a == b).all() for s, t in zip(plain.trees, got.forest.trees, strict=True) for a, b in zip(s, t, strict=True))
+    score = plain.score(every)
+    most = np.sort(score[good])[int(np.ceil(0.99 * good.sum())) - 1]
+    assert got.limit == (most + min((s for s in score[~good] if s > most), default=most)) / 2
+
+
+def test_draws_reach_every_row_and_none_twice():
+    got = quality.draws(30_000, 200, 256, 6)
+    assert all(len(set(d.tolist())) == 256 for d in got) and [d.tolist() for d in got] == [d.tolist() for d in quality.draws(30_000, 200, 256, 6)]
+    tenths = np.bincount(np.concatenate(got) // 3000, minlength=10) / (200 * 256)
+    assert len(tenths) == 10 and (abs(tenths - 0.1) < 0.01).all()
+    assert [sorted(d.tolist()) for d in quality.draws(3, 2, 256, 6)] == [[0, 1, 2]] * 2
+
+
+def test_rank_of_repeated_scores(spark):
+    rng = np.random.default_rng(2)
+    score = np.concatenate([rng.random(300), [0.5, 0.5, np.nextafter(0.5, 1), 1e-9, 1.0]])
+    m = rng.integers(1, 5, len(score))
+    rows = spark.createDataFrame(list(zip(m.tolist(), score.view(np.int64).tolist(), strict=True)), "m long, bits long")
+    plain = np.sort(np.repeat(score, m))
+    for rank in (1, 2, 77, len(plain) // 2, len(plain) - 1, len(plain)):
+        assert np.int64(quality.at_rank(rows, rank)).view(np.float64) == plain[rank - 1]
